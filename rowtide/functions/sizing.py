@@ -1,0 +1,36 @@
+"""Broadcast only behind a proven bound.
+
+Catalyst's own size estimate for a broadcast comes from file sizes, which
+understate decoded data (compressed Parquet) and cannot see through
+joins. We bound by rows instead: ``limit(n + 1).count()`` stops each task
+after ``n + 1`` rows, so the check is cheap even when the answer is "no".
+Above the bound callers take the shuffle plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+CONF_KEY = "rowtide.broadcast.maxRows"
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(CONF_KEY, None)
+    return int(v) if v else DEFAULT_MAX_ROWS
+
+
+def row_count_at_most(df: DataFrame, n: int) -> bool:
+    return df.limit(n + 1).count() <= n
+
+
+def is_broadcastable(df: DataFrame, max_rows: int | None = None) -> bool:
+    return row_count_at_most(df, max_rows if max_rows is not None else max_broadcast_rows(df))
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows."""
+    if is_broadcastable(df, max_rows):
+        return F.broadcast(df), True
+    return df, False

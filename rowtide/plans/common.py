@@ -58,3 +58,11 @@ flat AS (
 
 def with_flat(sql: str) -> str:
     return "WITH " + SQL_FLAT_EVENTS.strip() + ",\n" + sql.strip()
+
+
+def epoch_ms(ts: str) -> int:
+    """Epoch milliseconds of a UTC ``YYYY-MM-DD HH:MM:SS`` literal."""
+    import datetime as _dt
+
+    d = _dt.datetime.strptime(ts, "%Y-%m-%d %H:%M:%S").replace(tzinfo=_dt.timezone.utc)
+    return int(d.timestamp() * 1000)
