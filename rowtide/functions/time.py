@@ -22,4 +22,10 @@ def ms_to_ntz(col: Column | str) -> Column:
 
 
 def hour_bucket(ms_col: Column | str) -> Column:
-    return F.date_trunc("hour", ms_to_ntz(ms_col))
+    return F.date_trunc("hour", ms_to_ntz(ms_col)).cast("timestamp_ntz")
+
+
+def trunc_ntz(unit: str, col: Column | str) -> Column:
+    """``date_trunc`` that keeps TIMESTAMP_NTZ (Spark's returns a session-zone timestamp)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.date_trunc(unit, c).cast("timestamp_ntz")

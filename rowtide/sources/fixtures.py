@@ -111,7 +111,7 @@ def snapshot_payloads(rows: DataFrame, db: str, table: str, ts_ms: Column, op: s
     return rows.select(payload.alias("payload"))
 
 
-def dirty_event_lines(events: DataFrame) -> DataFrame:
+def dirty_event_lines(events: DataFrame, keep=()) -> DataFrame:
     """The events log as a landing batch with the faults real feeds show.
 
     Fault rules keyed on ``value`` (fixed values of the fixture):
@@ -134,4 +134,50 @@ def dirty_event_lines(events: DataFrame) -> DataFrame:
         .when(v < 3, F.to_json(F.struct(F.col("event_id").alias("heartbeat"))))
         .otherwise(F.col("_w"))
     )
-    return events.withColumn("_w", wrapped).select(line.alias("value"))
+    return events.withColumn("_w", wrapped).select(line.alias("value"), *keep)
+
+
+# Fixed values of the ledger fixture: job name, failure rule, timings.
+LEDGER_JOB = "cdc_to_sinks"
+FAIL_VALUE = 200.0
+
+
+def hourly_batches(events: DataFrame) -> DataFrame:
+    """One batch per event hour: (job_name, batch_id, hour, n_events, fails)."""
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    return events.groupBy(hour.alias("hour")).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.bool_or((F.col("event_type") == "error") & (F.col("value") > FAIL_VALUE)).alias("fails"),
+    ).select(
+        F.lit(LEDGER_JOB).alias("job_name"),
+        F.date_format("hour", "yyyy-MM-dd-HH").alias("batch_id"),
+        "hour", "n_events", "fails",
+    )
+
+
+def ledger_rows(batches: DataFrame) -> DataFrame:
+    """Ledger of the batches: attempt 1 starts at the hour's end and fails
+    when the hour holds an error event above FAIL_VALUE; a failed batch is
+    retried 5 minutes later and succeeds."""
+    end = F.col("hour") + F.expr("INTERVAL 1 HOUR")
+    plus = lambda m: end + F.make_interval(mins=F.lit(m))
+
+    def row(attempt, status, started, completed, count, err):
+        return F.struct(
+            F.lit(attempt).cast("int").alias("attempt"), status.alias("status"),
+            started.cast("timestamp_ntz").alias("started_at"),
+            completed.cast("timestamp_ntz").alias("completed_at"),
+            count.cast("bigint").alias("row_count"), err.cast("string").alias("error_message"),
+        )
+
+    fails = F.col("fails")
+    none = F.lit(None)
+    rows = F.array(
+        row(1, F.lit("STARTED"), end, none, none, none),
+        row(1, F.when(fails, "FAILED").otherwise("SUCCESS"), end, plus(1),
+            F.when(~fails, F.col("n_events")), F.when(fails, F.lit("sink write failed: error event in batch"))),
+        F.when(fails, row(2, F.lit("STARTED"), plus(5), none, none, none)),
+        F.when(fails, row(2, F.lit("SUCCESS"), plus(5), plus(6), F.col("n_events"), none)),
+    )
+    return batches.select("job_name", "batch_id", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select(
+        "job_name", "batch_id", "r.*")
