@@ -58,8 +58,12 @@ def parse_change_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     j = F.col("_j")
     bare = F.struct(*[j[f.name].alias(f.name) for f in PAYLOAD.fields])
     payload = F.when(j["payload"].isNotNull(), j["payload"]).when(j["op"].isNotNull(), bare)
+    # Parse inside a generator: predicates on the parsed columns cannot be
+    # pushed below a Generate, so from_json runs once per line instead of
+    # once in the pushed-down filter and again in the projection.
+    parsed_row = F.struct(F.col(value_col).alias("_raw"), parsed.alias("_j"))
     return (
-        lines.select(*others, F.col(value_col).alias("_raw"), parsed.alias("_j"))
+        lines.select(*others, F.inline(F.array(parsed_row)))
         .select(
             *others,
             payload.alias("payload"),
