@@ -2,7 +2,7 @@
 
 Layout::
 
-    root/data/v=<version>/_bucket=<b>/part-*.parquet
+    root/data/_version=<version>/_bucket=<b>/part-*.parquet
     root/_manifests/<version:012d>.json   {bucket: data dir, schema, keys}
 
 Rows live in bucket ``pmod(xxhash64(keys), num_buckets)``. A merge reads
@@ -74,7 +74,7 @@ class VersionedTable:
 
     # -- writes --------------------------------------------------------------------
     def _write_version(self, rows: DataFrame, version: int) -> set[int]:
-        out = f"{self.root}/data/v={version}"
+        out = f"{self.root}/data/_version={version}"
         rows.withColumn(BUCKET, bucket_of(self.keys, self.num_buckets)).write.mode("overwrite") \
             .partitionBy(BUCKET).parquet(out)
         written = set()
@@ -93,7 +93,7 @@ class VersionedTable:
         """Write ``rows`` as a complete new version."""
         v = (self.version() or 0) + 1
         written = self._write_version(rows, v)
-        return self._commit(v, {str(b): f"data/v={v}/{BUCKET}={b}" for b in sorted(written)}, rows.schema)
+        return self._commit(v, {str(b): f"data/_version={v}/{BUCKET}={b}" for b in sorted(written)}, rows.schema)
 
     def merge(self, staged: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """Rewrite the buckets touched by ``staged`` with ``fn(target_part, staged)``.
@@ -114,7 +114,7 @@ class VersionedTable:
         buckets = dict(m["buckets"])
         for b in touched:
             if b in written:
-                buckets[str(b)] = f"data/v={v}/{BUCKET}={b}"
+                buckets[str(b)] = f"data/_version={v}/{BUCKET}={b}"
             else:
                 buckets.pop(str(b), None)
         return self._commit(v, buckets, schema)
@@ -128,7 +128,7 @@ class VersionedTable:
             live.update(d.split("/")[1] for d in m["buckets"].values())
         removed = []
         for d in fs.list_names(self.spark, f"{self.root}/data"):
-            if d.startswith("v=") and d not in live and int(d[2:]) <= int(names[-1].split(".")[0]):
+            if d.startswith("_version=") and d not in live and int(d.split("=")[1]) <= int(names[-1].split(".")[0]):
                 fs.delete(self.spark, f"{self.root}/data/{d}")
                 removed.append(d)
         return removed
