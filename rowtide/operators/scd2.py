@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.keys import change_hash, change_hash_strict
 from rowtide.functions.sizing import is_broadcastable
 from rowtide.functions.time import ms_to_ntz
+from rowtide.operators.sequence import group_columns, segmented_last_seen, segmented_shift, with_segment
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current")
 
@@ -114,56 +115,87 @@ def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effecti
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  order: Sequence[Column], ts_ms: str = "_ts_ms", op: str = "_op",
-                 strict: bool = False) -> DataFrame:
+                 strict: bool = False, segment_seconds: int = 3600) -> DataFrame:
     """Versions from the whole change log (every event, not latest only).
 
     An event opens a version unless it repeats the previous event's tracked
     values; a delete closes the open version; ``valid_to`` is the time of
-    the next kept event. Both windows share the key partitioning, so the
-    plan shuffles once.
+    the next kept event. ``order[0]`` must be the event time in ms: both
+    neighbour lookups run per (key, time segment), so a hot key is spread
+    over its segments (see :mod:`rowtide.operators.sequence`); the plan
+    shuffles the log once, on (key, segment).
     """
     keys = list(keys)
     h = _hash(tracked, strict)
+    ordn = [f"_ord{i}" for i in range(len(order))]
     marked = changes.select(
-        *keys, *tracked, F.col(ts_ms).alias("_t"), F.col(op).alias("_o"), *[o.alias(f"_ord{i}") for i, o in enumerate(order)],
-        h.alias("_h"),
-    )
-    order2 = [F.col(f"_ord{i}") for i in range(len(order))]
-    w = Window.partitionBy(*keys).orderBy(*order2)
-    marked = marked.select(
-        "*", F.lag("_o").over(w).alias("_prev_o"), F.lag("_h").over(w).alias("_prev_h")
+        *keys, *tracked, F.col(ts_ms).alias("_t"), F.col(op).alias("_o"),
+        *[o.alias(n) for o, n in zip(order, ordn)], h.alias("_h"),
     )
+    marked = segmented_shift(with_segment(marked, ordn[0], segment_seconds), keys, ordn, ["_o", "_h"],
+                             "prev", "_prev")
     is_del = F.col("_o") == "d"
     prev_open = F.col("_prev_o").isNotNull() & (F.col("_prev_o") != "d")
     keep = (is_del & prev_open) | (
         ~is_del & (~prev_open | ~F.col("_h").eqNullSafe(F.col("_prev_h")))
     )
-    kept = marked.filter(keep)
-    versions = kept.select("*", F.lead("_t").over(w).alias("_next"))
+    versions = segmented_shift(marked.filter(keep), keys, ordn, ["_t"], "next", "_next", clustered=True)
     return versions.filter(F.col("_o") != "d").select(
         *keys, *tracked,
         ms_to_ntz("_t").alias("valid_from"),
-        ms_to_ntz("_next").alias("valid_to"),
-        F.col("_next").isNull().alias("is_current"),
+        ms_to_ntz("_next_t").alias("valid_to"),
+        F.col("_next_t").isNull().alias("is_current"),
     )
 
 
 def as_of_join(facts: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_keys: Sequence[str],
-               fact_ts: str, dim_cols: Sequence[str], how: str = "left") -> DataFrame:
+               fact_ts: str, dim_cols: Sequence[str], how: str = "left",
+               segment_seconds: int = 86400) -> DataFrame:
     """Each fact sees the dimension version valid at its time.
 
-    Equi-join on the key plus a range predicate on validity; Spark plans it
-    as a shuffled (or broadcast, when small) hash/sort-merge join with a
-    residual condition. A hot key on the fact side is split by AQE's skew
-    join handling; the dimension side has few versions per key.
+    Same result as the join on ``key AND valid_from <= t AND (valid_to IS
+    NULL OR t < valid_to)`` for a dimension whose versions of a key do not
+    overlap (the SCD2 invariant), but without pairing every fact of a key
+    with every version of it: facts and versions are unioned, ordered by
+    time per key, and each fact takes the last version at or before it
+    (versions first on equal time), then checks ``valid_to``. The running
+    lookup is segmented by time, so neither a hot fact key nor a key with
+    a long history lands in one task. ``how`` is ``left`` or ``inner``.
     """
-    d = dim.select(*[F.col(k).alias(f"_d_{k}") for k in dim_keys], "valid_from", "valid_to",
-                   *[F.col(c).alias(f"_d_{c}") for c in dim_cols])
-    cond = None
-    for fk, dk in zip(fact_keys, dim_keys):
-        e = facts[fk] == d[f"_d_{dk}"]
-        cond = e if cond is None else cond & e
-    t = facts[fact_ts]
-    cond = cond & (t >= d["valid_from"]) & (d["valid_to"].isNull() | (t < d["valid_to"]))
-    out = facts.join(d, cond, how)
-    return out.select(*facts.columns, *[F.col(f"_d_{c}").alias(c) for c in dim_cols])
+    if how not in ("left", "inner"):
+        raise ValueError(f"as_of_join supports left and inner, not {how}")
+    ks = [f"_k{i}" for i in range(len(fact_keys))]
+    t_type = facts.schema[fact_ts].dataType
+    vf_type = dim.schema["valid_from"].dataType
+    t_cast = None if t_type == vf_type else vf_type
+    ver = F.struct(F.col("valid_from").cast(vf_type).alias("valid_from"),
+                   F.col("valid_to").cast(vf_type).alias("valid_to"), *[F.col(c) for c in dim_cols])
+    d = dim.filter(F.col("valid_from").isNotNull()).select(
+        *[F.col(dk).alias(k) for dk, k in zip(dim_keys, ks)],
+        F.col("valid_from").cast(vf_type).alias("_t"),
+        F.lit(0).alias("_side"),
+        ver.alias("_d"),
+    )
+    fstruct = F.struct(*[F.col(c) for c in facts.columns])
+    ft = F.col(fact_ts) if t_cast is None else F.col(fact_ts).cast(t_cast)
+    f = facts.select(
+        *[F.col(fk).alias(k) for fk, k in zip(fact_keys, ks)],
+        ft.alias("_t"),
+        F.lit(1).alias("_side"),
+        F.lit(None).cast(d.schema["_d"].dataType).alias("_d"),
+        fstruct.alias("_f"),
+    )
+    d = d.withColumn("_f", F.lit(None).cast(f.schema["_f"].dataType))
+    # group columns made here, raw keys dropped: the lookup then passes on
+    # only columns the output uses (its shuffle is shared, see sequence.py)
+    u, _ = group_columns(with_segment(f.unionByName(d), "_t", segment_seconds), ks)
+    u = u.drop(*ks)
+    seen = segmented_last_seen(u, ks, ["_t", "_side"], "_d", "_v").filter(F.col("_side") == 1)
+    v = F.col("_v")
+    valid = v.isNotNull() & F.col("_t").isNotNull() & (v["valid_to"].isNull() | (F.col("_t") < v["valid_to"]))
+    if how == "inner":
+        seen = seen.filter(valid)
+    return seen.select(
+        *[F.col("_f")[c].alias(c) for c in facts.columns],
+        *[F.when(valid, v[c]).alias(c) for c in dim_cols],
+    )
