@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.contracts import REGISTRY
 from rowtide.operators.envelope import flatten_envelope
 from rowtide.sources.changelog import parse_change_lines
-from rowtide.sources.fixtures import event_envelope_lines, load
+from rowtide.sources.fixtures import event_envelope_lines, load, spread
 
 USERS = REGISTRY["app.users"]
 ORDERS = REGISTRY["tpch.orders"]
@@ -25,7 +25,9 @@ HISTORY_START = "1995-01-01 00:00:00"
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_envelope_lines(load(spark, sf_dir, "events"))
+    """The events log as JSON envelope lines; encoding and parsing them is
+    the heavy per-row work, so the scan is spread over the cores first."""
+    return event_envelope_lines(spread(load(spark, sf_dir, "events")))
 
 
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:

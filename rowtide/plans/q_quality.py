@@ -15,7 +15,7 @@ from rowtide.plans.common import BATCH_SPLIT, LINEITEM, ORDERS, USERS, flat_even
 from rowtide.plans.registry import query
 from rowtide.functions.time import hour_bucket, ntz_to_ms, trunc_ntz
 from rowtide.sources.changelog import parse_change_lines
-from rowtide.sources.fixtures import dirty_event_lines, hourly_batches, ledger_rows, load, snapshot_payloads
+from rowtide.sources.fixtures import dirty_event_lines, hourly_batches, ledger_rows, load, snapshot_payloads, spread
 
 # --- Q1 ----------------------------------------------------------------------------
 # TPC-H domain rules of lineitem.
@@ -99,7 +99,7 @@ def q_rename_map(spark, sf_dir):
 
 # --- Q4, A8 -------------------------------------------------------------------------------
 def _classified(spark, sf_dir):
-    ev = load(spark, sf_dir, "events")
+    ev = spread(load(spark, sf_dir, "events"))  # JSON encode/parse per row: use every core
     lines = dirty_event_lines(ev, keep=[trunc_ntz("hour", "ts").alias("landed_hour")])
     return Q.classify(parse_change_lines(lines), contract_table(spark))
 

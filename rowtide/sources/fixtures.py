@@ -20,6 +20,20 @@ USERS_DB, USERS_TABLE = "app", "users"
 BINLOG_PREFIX = "mysql-bin."
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table scanned in fewer splits than the cluster has cores that many.
+
+    A Parquet file with one row group is one split, so everything up to the
+    first shuffle (JSON encoding and parsing of the change log included)
+    would run in a single task. At scale the scan has far more splits than
+    cores and this is a no-op. Filters and column pruning still reach the
+    scan below the round-robin exchange, which is deterministic on retry
+    (Spark sorts before a round-robin repartition).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
