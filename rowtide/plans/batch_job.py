@@ -127,8 +127,8 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
     results, persisted = [], [classified]
     try:
         bad = classified.filter(F.col("reason").isNotNull())
-        bad.select("reason", "raw", F.lit(batch_id).alias("batch_id")).write.mode("append") \
-            .partitionBy("reason").parquet(cfg.quarantine_root)
+        fs.for_partitioned_write(bad.select("reason", "raw", F.lit(batch_id).alias("batch_id")), "reason") \
+            .write.mode("append").partitionBy("reason").parquet(cfg.quarantine_root)
         good = classified.filter(F.col("reason").isNull())
         present = [(r[0], r[1]) for r in good.select(
             F.col("payload.source.db"), F.col("payload.source.table")).distinct().collect()]  # ≤ #contracts

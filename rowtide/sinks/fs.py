@@ -6,7 +6,19 @@ always moves through Spark readers and writers.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def for_partitioned_write(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows of a ``partitionBy(*cols)`` write, clustered by those columns.
+
+    Without it every task writes a file per partition value it holds
+    (tasks × values small files). The ``rebalance`` hint adds one shuffle
+    whose partitions AQE coalesces when small and splits when skewed, so a
+    partition value gets few files and a hot one is still written by
+    several tasks.
+    """
+    return df.hint("rebalance", *cols)
 
 
 def _fs(spark: SparkSession, path: str):

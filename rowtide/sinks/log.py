@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.time import ms_to_ntz
 from rowtide.sinks import fs
 
+LOG_PARTITIONS = ("db_name", "table_name", "dt")
 EVENT_KEY_COLUMNS = ("db_name", "table_name", "pk_hash", "op", "ts_ms", "binlog_file", "binlog_pos")
 
 
@@ -26,7 +27,8 @@ def with_log_columns(flat: DataFrame) -> DataFrame:
 
 def append_log(flat: DataFrame, root: str) -> None:
     """K5: append changes; deletes are appended as tombstone rows."""
-    with_log_columns(flat).write.mode("append").partitionBy("db_name", "table_name", "dt").parquet(root)
+    fs.for_partitioned_write(with_log_columns(flat), *LOG_PARTITIONS).write.mode("append") \
+        .partitionBy(*LOG_PARTITIONS).parquet(root)
 
 
 def new_events(flat: DataFrame, root: str) -> DataFrame:
@@ -46,4 +48,5 @@ def new_events(flat: DataFrame, root: str) -> DataFrame:
 
 
 def append_silver(flat: DataFrame, root: str) -> None:
-    new_events(flat, root).write.mode("append").partitionBy("db_name", "table_name", "dt").parquet(root)
+    fs.for_partitioned_write(new_events(flat, root), *LOG_PARTITIONS).write.mode("append") \
+        .partitionBy(*LOG_PARTITIONS).parquet(root)

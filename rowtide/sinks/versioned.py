@@ -75,8 +75,8 @@ class VersionedTable:
     # -- writes --------------------------------------------------------------------
     def _write_version(self, rows: DataFrame, version: int) -> set[int]:
         out = f"{self.root}/data/_version={version}"
-        rows.withColumn(BUCKET, bucket_of(self.keys, self.num_buckets)).write.mode("overwrite") \
-            .partitionBy(BUCKET).parquet(out)
+        fs.for_partitioned_write(rows.withColumn(BUCKET, bucket_of(self.keys, self.num_buckets)), BUCKET) \
+            .write.mode("overwrite").partitionBy(BUCKET).parquet(out)
         written = set()
         for name in fs.list_names(self.spark, out):
             if name.startswith(f"{BUCKET}="):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.time import ms_to_ntz
+from rowtide.sinks import fs
 from rowtide.sources.changelog import parse_change_lines
 
 PARTITION_COLUMNS = ("db_name", "table_name", "dt", "hour")
@@ -49,8 +50,8 @@ def land_lines(lines: DataFrame, root: str, errors_root: str, mode: str = "appen
         F.col("raw").alias("value"),
         F.when(F.col("_corrupt_record").isNotNull(), "malformed_json").otherwise("unroutable").alias("reason"),
     )
-    good.write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root)
-    bad.write.mode(mode).partitionBy("reason").text(errors_root)
+    fs.for_partitioned_write(good, *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root)
+    fs.for_partitioned_write(bad, "reason").write.mode(mode).partitionBy("reason").text(errors_root)
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
