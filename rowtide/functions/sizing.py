@@ -2,9 +2,12 @@
 
 Catalyst's own size estimate for a broadcast comes from file sizes, which
 understate decoded data (compressed Parquet) and cannot see through
-joins. We bound by rows instead: ``limit(n + 1).count()`` stops each task
-after ``n + 1`` rows, so the check is cheap even when the answer is "no".
-Above the bound callers take the shuffle plan.
+joins. We measure instead, over at most ``n + 1`` rows: ``limit(n + 1)``
+stops each task after ``n + 1`` rows, and one aggregation returns the row
+count and the bytes of those rows (length of each row as JSON, which is
+at least its binary size for the key and attribute types used here). A side is
+broadcast only when both are under their bounds; above them callers
+take the shuffle plan.
 """
 
 from __future__ import annotations
@@ -13,24 +16,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 CONF_KEY = "rowtide.broadcast.maxRows"
+CONF_BYTES_KEY = "rowtide.broadcast.maxBytes"
+
+
+def _conf(df: DataFrame, key: str, default: int) -> int:
+    v = df.sparkSession.conf.get(key, None)
+    return int(v) if v else default
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else DEFAULT_MAX_ROWS
+    return _conf(df, CONF_KEY, DEFAULT_MAX_ROWS)
+
+
+def max_broadcast_bytes(df: DataFrame) -> int:
+    return _conf(df, CONF_BYTES_KEY, DEFAULT_MAX_BYTES)
+
+
+def measure_at_most(df: DataFrame, n: int) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, counting at most ``n + 1`` rows."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    r = df.limit(n + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(row)).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
 
 
 def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def is_broadcastable(df: DataFrame, max_rows: int | None = None) -> bool:
-    return row_count_at_most(df, max_rows if max_rows is not None else max_broadcast_rows(df))
+def is_broadcastable(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    max_rows = max_rows if max_rows is not None else max_broadcast_rows(df)
+    max_bytes = max_bytes if max_bytes is not None else max_broadcast_bytes(df)
+    rows, size = measure_at_most(df, max_rows)
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows."""
+    """``(broadcast(df), True)`` if ``df`` is within the row and byte bounds."""
     if is_broadcastable(df, max_rows):
         return F.broadcast(df), True
     return df, False

@@ -168,7 +168,7 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if small is None:
-        small = is_broadcastable(changes.select(*keys))
+        small = is_broadcastable(changes)  # widest side broadcast below is a subset of it
     accepted = newer_than_target(state, changes, keys, small=small) if ordered else changes
     skip = set(keys) | set(ORDER_COLUMNS) | {"_op", "deleted_at"}
     attrs = [c for c in state.columns if c not in skip]

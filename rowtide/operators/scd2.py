@@ -56,7 +56,7 @@ def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Se
     """
     keys = list(keys)
     st = _staged(staged, keys, attrs, effective, strict)
-    small = is_broadcastable(staged.select(*keys)) if small is None else small
+    small = is_broadcastable(staged) if small is None else small
     s = _bcast(st, small)
     cur = dim.filter(F.col("is_current")).join(s, keys, "left")
     changed = F.col("_h").isNotNull() & (F.col("_h") != _hash(attrs, strict))
@@ -72,7 +72,7 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
     """New open versions for new keys and for keys whose attributes changed."""
     keys = list(keys)
     st = _staged(staged, keys, attrs, effective, strict)
-    small = is_broadcastable(staged.select(*keys)) if small is None else small
+    small = is_broadcastable(staged) if small is None else small
     s = _bcast(st.select(*keys, "_h"), small)
     cur = dim.filter(F.col("is_current")).select(*keys, _hash(attrs, strict).alias("_ch"))
     # current rows whose attributes the batch repeats: at most one per staged key
@@ -89,7 +89,7 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
 def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
                effective: Column, strict: bool = False, small: bool | None = None) -> DataFrame:
     """J3 + J4: the full dimension after applying a batch of upserts."""
-    small = is_broadcastable(staged.select(*keys)) if small is None else small
+    small = is_broadcastable(staged) if small is None else small
     history = dim.filter(~F.col("is_current"))
     return (
         history.unionByName(scd2_close(dim, staged, keys, attrs, effective, strict, small))

@@ -143,7 +143,7 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
                 F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
                 F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
             ).first()  # one row
-            small = is_broadcastable(typed.select(*c.primary_keys))
+            small = is_broadcastable(typed)  # every broadcast side of the merges is a part of it
             for sink in c.sinks:
                 if sink not in cfg.enabled_sinks:
                     continue

@@ -1,0 +1,35 @@
+"""Broadcast behind a measured bound; above it the shuffle plan, same result."""
+
+from rowtide.functions.sizing import CONF_BYTES_KEY, is_broadcastable, measure_at_most
+from rowtide.operators.merge import merge_replace
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_on_rows_and_bytes(spark):
+    df = spark.range(100).selectExpr("id", "repeat('x', 100) AS pad")
+    rows, size = measure_at_most(df, 10)
+    assert rows == 11 and size > 11 * 100
+    assert is_broadcastable(df, max_rows=100, max_bytes=10 ** 6)
+    assert not is_broadcastable(df, max_rows=99)
+    assert not is_broadcastable(df, max_rows=100, max_bytes=5_000)
+
+
+def test_merge_takes_the_shuffle_plan_above_the_byte_bound(spark):
+    target = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    staged = spark.range(0, 1000, 7).selectExpr("id AS k", "'new' AS v")
+    small = merge_replace(target, staged, ["k"])
+    assert "BroadcastExchange" in _plan(small)
+    spark.conf.set(CONF_BYTES_KEY, "10")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = merge_replace(target, staged, ["k"])
+        assert "BroadcastExchange" not in _plan(big)
+        assert sorted(big.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.unset(CONF_BYTES_KEY)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
