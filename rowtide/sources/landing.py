@@ -55,7 +55,12 @@ def land_lines(lines: DataFrame, root: str, errors_root: str, mode: str = "appen
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """All landed lines with their partition columns (typed, no inference)."""
+    """All landed lines with their partition columns (typed, no inference).
+
+    Nothing landed yet (no root directory) is an empty table, not an error.
+    """
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], LANDED_SCHEMA)
     return spark.read.schema(LANDED_SCHEMA).text(root)
 
 

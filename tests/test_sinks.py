@@ -106,3 +106,5 @@ def test_landing_range_scan_prunes_partitions(spark):
     assert "PartitionFilters" in plan and "2024-01-10" in plan
     assert df.count() > 0
     assert landing.touched_partitions(landing.read_landed(spark, root)).filter("dt = '2024-01-10'").count() <= 24
+    assert landing.table_scan(spark, root, "app", "no_such_table").count() == 0
+    assert landing.table_scan(spark, root + "-never-landed", "app", "users").count() == 0
