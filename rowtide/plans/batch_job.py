@@ -73,7 +73,7 @@ def state_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Da
         empty = template.where(F.lit(False))
         if soft:
             empty = empty.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz"))
-        t.overwrite(empty)
+        t.create(empty.schema)
     return t
 
 
@@ -81,7 +81,7 @@ def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Dat
     t = VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys, cfg.num_buckets)
     if t.version() is None:
         cols = template.select(*c.primary_keys, *c.attribute_columns).where(F.lit(False))
-        t.overwrite(open_versions(cols, F.lit(None)))
+        t.create(open_versions(cols, F.lit(None)).schema)
     return t
 
 

@@ -89,6 +89,10 @@ class VersionedTable:
         fs.create_text(self.spark, f"{self._manifest_dir()}/{version:012d}.json", body, overwrite=False)
         return version
 
+    def create(self, schema: T.StructType) -> int:
+        """Commit an empty first version: a manifest with the schema, no data."""
+        return self._commit((self.version() or 0) + 1, {}, schema)
+
     def overwrite(self, rows: DataFrame) -> int:
         """Write ``rows`` as a complete new version."""
         v = (self.version() or 0) + 1
