@@ -36,8 +36,11 @@ def max_broadcast_bytes(df: DataFrame) -> int:
 
 def measure_at_most(df: DataFrame, n: int) -> tuple[int, int]:
     """(rows, bytes) of ``df``, counting at most ``n + 1`` rows."""
+    # the length is computed in every task before the limit; only one
+    # integer per row then moves to the single task the global limit uses
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    r = df.limit(n + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(row)).alias("b")).first()
+    lengths = df.select(F.octet_length(row).alias("_b")).limit(n + 1)
+    r = lengths.agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 

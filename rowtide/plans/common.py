@@ -24,6 +24,16 @@ TIER_SECOND = "2001-09-01 00:00:00"
 HISTORY_START = "1995-01-01 00:00:00"
 
 
+def staged(batch: DataFrame) -> DataFrame:
+    """K1 as a job does it: materialize a batch once before merging it.
+
+    A reliable checkpoint under the session's ``spark.checkpoint.dir``
+    (shared storage on a cluster); the broadcast size check and the merge
+    then read it instead of deriving the batch twice.
+    """
+    return batch.checkpoint(eager=True)
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events log as JSON envelope lines; encoding and parsing them is
     the heavy per-row work, so the scan is spread over the cores first."""

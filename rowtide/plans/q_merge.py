@@ -16,7 +16,7 @@ from rowtide.operators.merge import (
     not_deleted,
     visible,
 )
-from rowtide.plans.common import BATCH_SPLIT, ORDERS, TIER_SECOND, USERS, epoch_ms, flat_events, with_flat
+from rowtide.plans.common import BATCH_SPLIT, ORDERS, TIER_SECOND, USERS, epoch_ms, flat_events, staged, with_flat
 from rowtide.plans.q_envelope import SQL_CURRENT_USERS
 from rowtide.plans.registry import query
 from rowtide.sources.fixtures import load
@@ -41,18 +41,18 @@ def orders_resync(spark, sf_dir) -> DataFrame:
         * (F.lit(1) + F.col("l_tax").cast("decimal(4,2)"))
         * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
     )
-    return li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+    return staged(li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.when(F.bool_and(F.col("l_linestatus") == "F"), "F")
         .when(F.bool_and(F.col("l_linestatus") == "O"), "O")
         .otherwise("P").alias("o_orderstatus"),
         F.sum(price).cast("decimal(12,2)").alias("o_totalprice"),
-    )
+    ))
 
 
 def orphan_orders(spark, sf_dir) -> DataFrame:
     """Orders without any line item: the delete batch."""
     li = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return orders_target(spark, sf_dir).join(li, "o_orderkey", "left_anti").select("o_orderkey")
+    return staged(orders_target(spark, sf_dir).join(li, "o_orderkey", "left_anti").select("o_orderkey"))
 
 
 SQL_ORDERS = """
@@ -129,7 +129,7 @@ def q_not_deleted(spark, sf_dir):
 
 
 def user_changes(flat: DataFrame) -> DataFrame:
-    return typed_changes(latest_change_per_key(flat, USERS.primary_keys), USERS)
+    return staged(typed_changes(latest_change_per_key(flat, USERS.primary_keys), USERS))
 
 
 def user_batches(spark, sf_dir):
