@@ -15,6 +15,7 @@ tables and sinks (a handful), never over rows.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -44,6 +45,7 @@ class JobConfig:
     enabled_sinks: tuple[str, ...] = SINKS
     registry: dict[str, TableContract] = field(default_factory=lambda: dict(REGISTRY))
     num_buckets: int = 64
+    parallel_jobs: int = 4
 
     def table_root(self, sink: str, c: TableContract) -> str:
         return f"{self.root.rstrip('/')}/{sink}/{c.db_name}.{c.table_name}"
@@ -132,26 +134,32 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
         good = classified.filter(F.col("reason").isNull())
         present = [(r[0], r[1]) for r in good.select(
             F.col("payload.source.db"), F.col("payload.source.table")).distinct().collect()]  # ≤ #contracts
-        for db, table in sorted(present):
-            c = cfg.registry[f"{db}.{table}"]
-            rows = good.filter((F.col("payload.source.db") == db) & (F.col("payload.source.table") == table))
-            flat = flatten_envelope(rows, c.primary_keys)
-            append_silver(flat, cfg.silver_root)
-            typed = typed_changes(latest_change_per_key(flat, c.primary_keys), c).persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(typed)
-            counts = typed.agg(
-                F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
-                F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
-            ).first()  # one row
-            small = is_broadcastable(typed)  # every broadcast side of the merges is a part of it
-            for sink in c.sinks:
-                if sink not in cfg.enabled_sinks:
-                    continue
-                try:
-                    _apply_sink(spark, cfg, sink, c, typed, small, batch_id)
-                    results.append((sink, c.fqn, int(counts["u"] or 0), int(counts["d"] or 0), []))
-                except Exception as e:  # noqa: BLE001 - sinks fail independently
-                    results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"[:1000]]))
+        # the silver append and the sinks of a table are independent jobs: they
+        # run concurrently (one driver thread each) so small jobs share the
+        # executors; silver appends to the one silver root stay one at a time
+        with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
+            for db, table in sorted(present):
+                c = cfg.registry[f"{db}.{table}"]
+                rows = good.filter((F.col("payload.source.db") == db) & (F.col("payload.source.table") == table))
+                flat = flatten_envelope(rows, c.primary_keys)
+                silver = pool.submit(append_silver, flat, cfg.silver_root)
+                typed = typed_changes(latest_change_per_key(flat, c.primary_keys), c) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                persisted.append(typed)
+                counts = typed.agg(
+                    F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
+                    F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
+                ).first()  # one row
+                small = is_broadcastable(typed)  # every broadcast side of the merges is a part of it
+                jobs = [(sink, pool.submit(_apply_sink, spark, cfg, sink, c, typed, small, batch_id))
+                        for sink in c.sinks if sink in cfg.enabled_sinks]
+                for sink, job in jobs:
+                    try:
+                        job.result()
+                        results.append((sink, c.fqn, int(counts["u"] or 0), int(counts["d"] or 0), []))
+                    except Exception as e:  # noqa: BLE001 - sinks fail independently
+                        results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"[:1000]]))
+                silver.result()  # a failed silver append fails the batch
         errors = [e for r in results for e in r[4]]
         total = sum(r[2] + r[3] for r in results)
         err = F.lit("; ".join(errors)[: L.ERROR_LIMIT]) if errors else None
