@@ -19,7 +19,7 @@ from rowtide.operators.merge import (
 from rowtide.plans.common import BATCH_SPLIT, ORDERS, TIER_SECOND, USERS, epoch_ms, flat_events, staged, with_flat
 from rowtide.plans.q_envelope import SQL_CURRENT_USERS
 from rowtide.plans.registry import query
-from rowtide.sources.fixtures import load
+from rowtide.sources.fixtures import load, spread
 
 # --- orders: target, and a re-sync batch derived from lineitem ----------------
 
@@ -35,7 +35,7 @@ def orders_resync(spark, sf_dir) -> DataFrame:
     All lines F → F, all O → O, else P; total = Σ price·(1+tax)·(1−discount).
     One aggregation over lineitem (partial aggregation before the shuffle).
     """
-    li = load(spark, sf_dir, "lineitem")
+    li = spread(load(spark, sf_dir, "lineitem"))  # decimal arithmetic per line: use every core
     price = (
         F.col("l_extendedprice").cast("decimal(12,2)")
         * (F.lit(1) + F.col("l_tax").cast("decimal(4,2)"))
