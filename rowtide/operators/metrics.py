@@ -41,13 +41,25 @@ def fan_out(flat: DataFrame, contracts: DataFrame, enabled: Sequence[str] | None
     return flat.join(F.broadcast(sinks), ["db_name", "table_name"])
 
 
+# Fixed value: number of error messages a run report keeps.
+ERRORS_KEPT = 3
+
+
 def run_totals(results: DataFrame) -> DataFrame:
-    """A3 over write results (sink, table_name, upserted, deleted, errors)."""
+    """A3 over write results (sink, table_name, upserted, deleted, errors).
+
+    ``first_errors``: the first ``ERRORS_KEPT`` messages in (sink, table)
+    order. The results have one row per (table, sink), so collecting them
+    into the one summary row is bounded by the registry, not by data.
+    """
+    per = F.array_sort(F.collect_list(F.struct("sink", "table_name", "errors")))
     return results.agg(
         F.sum("upserted").cast("bigint").alias("upserted"),
         F.sum("deleted").cast("bigint").alias("deleted"),
         F.count_distinct("table_name").alias("tables"),
         F.coalesce(F.bool_or(F.size("errors") > 0), F.lit(False)).alias("any_error"),
+        F.slice(F.flatten(F.transform(per, lambda r: F.coalesce(r["errors"], F.array().cast("array<string>")))),
+                1, ERRORS_KEPT).alias("first_errors"),
     )
 
 

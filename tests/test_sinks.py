@@ -108,3 +108,20 @@ def test_landing_range_scan_prunes_partitions(spark):
     assert landing.touched_partitions(landing.read_landed(spark, root)).filter("dt = '2024-01-10'").count() <= 24
     assert landing.table_scan(spark, root, "app", "no_such_table").count() == 0
     assert landing.table_scan(spark, root + "-never-landed", "app", "users").count() == 0
+
+
+def test_run_totals_keep_the_first_three_errors(spark):
+    from rowtide.operators.metrics import run_totals
+    from rowtide.schemas import WRITE_RESULT
+
+    res = spark.createDataFrame([
+        ("search", "a.t", 0, 0, ["s1", "s2"]),
+        ("warehouse", "a.t", 5, 1, []),
+        ("rowstore", "a.t", 0, 0, ["r1", "r2"]),
+        ("rowstore", "a.u", 2, 0, []),
+    ], WRITE_RESULT)
+    r = run_totals(res).first()
+    assert (r.upserted, r.deleted, r.tables, r.any_error) == (7, 1, 2, True)
+    assert r.first_errors == ["r1", "r2", "s1"]
+    clean = run_totals(res.filter("size(errors) = 0")).first()
+    assert clean.any_error is False and clean.first_errors == []
