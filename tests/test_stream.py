@@ -21,5 +21,7 @@ def test_stream_apply_equals_batch_current_state(spark):
     want = sorted(tuple(r) for r in current_state(flat_events(spark, SF_SMALL), USERS).drop("updated_ts_ms").collect())
     assert got == want
     # a second run on the same checkpoint reads nothing new
-    S.run_to_tables(spark, src, cfg, ckpt).awaitTermination()
+    q = S.run_to_tables(spark, src, cfg, ckpt)
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 0
     assert sorted(tuple(r) for r in read_current(spark, cfg, "warehouse", USERS).collect()) == want
