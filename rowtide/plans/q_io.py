@@ -66,7 +66,7 @@ FROM events
 """)
 def q_touched_partitions(spark, sf_dir):
     root = _landed(spark, sf_dir)
-    return landing.touched_partitions(landing.read_landed(spark, root))
+    return landing.touched_partitions(landing.landed_files(spark, root))
 
 
 @query("retention_plan", f"""
@@ -75,7 +75,7 @@ WHERE CAST(ts AS DATE) < DATE '{RETENTION_AS_OF}' - INTERVAL 90 DAY
 """)
 def q_retention_plan(spark, sf_dir):
     root = _landed(spark, sf_dir)
-    parts = landing.touched_partitions(landing.read_landed(spark, root))
+    parts = landing.touched_partitions(landing.landed_files(spark, root))
     return landing.retention_plan(parts, F.lit(RETENTION_AS_OF))
 
 

@@ -104,10 +104,27 @@ def path_partitions(file_path: Column, names: Sequence[str] = PARTITION_COLUMNS)
     return [F.regexp_extract(file_path, rf"/{n}=([^/]+)", 1).alias(n) for n in names]
 
 
-def touched_partitions(landed: DataFrame) -> DataFrame:
-    """Distinct partitions of the files behind ``landed``."""
-    fp = F.col("_metadata.file_path")
-    return landed.select(*path_partitions(fp)).distinct().select(
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per landed file (``path``, ``length``, ``modificationTime``).
+
+    A ``binaryFile`` listing without its ``content`` column: the files are
+    never opened, so finding what a delivery touched costs a listing, not a
+    read of the data. Nothing landed yet gives no rows.
+    """
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select("path", "length", "modificationTime"))
+
+
+def touched_partitions(files: DataFrame) -> DataFrame:
+    """Distinct partitions of ``files``.
+
+    ``files`` is a listing from :func:`landed_files` (one row per file), or
+    any file-based DataFrame, whose ``_metadata.file_path`` is used then.
+    """
+    fp = F.col("path") if "path" in files.columns else F.col("_metadata.file_path")
+    return files.select(*path_partitions(fp)).distinct().select(
         "db_name", "table_name", F.col("dt").cast("date").alias("dt"), F.col("hour").cast("int").alias("hour"))
 
 

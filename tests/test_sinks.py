@@ -105,7 +105,12 @@ def test_landing_range_scan_prunes_partitions(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "PartitionFilters" in plan and "2024-01-10" in plan
     assert df.count() > 0
-    assert landing.touched_partitions(landing.read_landed(spark, root)).filter("dt = '2024-01-10'").count() <= 24
+    touched = landing.touched_partitions(landing.landed_files(spark, root))
+    assert touched.filter("dt = '2024-01-10'").count() <= 24
+    from_lines = landing.touched_partitions(landing.read_landed(spark, root))
+    assert sorted(touched.collect()) == sorted(from_lines.collect())
+    assert "content" not in landing.landed_files(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert landing.landed_files(spark, root + "-never-landed").count() == 0
     assert landing.table_scan(spark, root, "app", "no_such_table").count() == 0
     assert landing.table_scan(spark, root + "-never-landed", "app", "users").count() == 0
 
