@@ -40,3 +40,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of a quarter of the ids are held out."""
+    from rowtide.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    found = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
