@@ -51,3 +51,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of all documents."""
+    from rowtide.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
