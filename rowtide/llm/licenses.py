@@ -48,15 +48,25 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def _grams(text: Column, k: int) -> Column:
+    """Hashes of all runs of ``k`` words, in order. The words are bound to a
+    lambda variable, so they are split once per row and not once per hash."""
+
+    def roll(w: Column) -> Column:
+        run = lambda p: F.xxhash64(*[F.get(w, p + F.lit(i)) for i in range(k)])
+        return F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), run))
+
+    return F.flatten(F.transform(F.array(words(text)), roll))
+
+
 def _templates(spark: SparkSession, phrases, notices, k: int) -> DataFrame:
     """(template, label, base, size, q, gram): one row per hash of a template.
     Its size is that of the lists passed in."""
-    rows = [(i, label, base, text.split()) for i, (text, label, base) in enumerate(
+    rows = [(i, label, base, text, len(text.split())) for i, (text, label, base) in enumerate(
         [(t, lab, True) for t, lab in phrases] + [(t, lab, False) for t, lab in notices])]
-    rows = [r for r in rows if len(r[3]) >= k]
-    made = spark.createDataFrame(rows, "template int, label string, base boolean, tw array<string>")
-    gram = F.expr(f"transform(sequence(0, size(tw) - {k}), q -> xxhash64({', '.join(f'tw[q + {i}]' for i in range(k))}))")
-    return made.select("template", "label", "base", F.size("tw").alias("size"), "tw", F.posexplode(gram).alias("q", "gram"))
+    rows = [r for r in rows if r[4] >= k]
+    made = spark.createDataFrame(rows, "template int, label string, base boolean, phrase string, size int")
+    return made.select("template", "label", "base", "size", F.posexplode(_grams(F.col("phrase"), k)).alias("q", "gram"))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = 3, near: int = 2, least: float = 0.6) -> DataFrame:
@@ -73,11 +83,9 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, k: int = 3, near: in
     own = docs.select("doc_id", "text")
     # rows with the same id and text are told apart from others by this key, also for null ids
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
-    split = own.select(key.alias("row_key"), words(F.col("text")).alias("w"))
     templates = _templates(spark, phrases, notices, k)
-    hashes = F.expr(f"CASE WHEN size(w) >= {k} THEN transform(sequence(0, size(w) - {k}), p -> xxhash64({', '.join(f'w[p + {i}]' for i in range(k))})) ELSE array() END")
-    rolled = split.select("row_key", hashes.alias("grams")).select("row_key", F.posexplode("grams").alias("p", "gram"))
-    hits = rolled.join(F.broadcast(templates.drop("tw")), "gram").select("row_key", "template", "label", "base", "size", "p", "q").distinct()
+    rolled = own.select(key.alias("row_key"), F.posexplode(_grams(F.col("text"), k)).alias("p", "gram"))
+    hits = rolled.join(F.broadcast(templates), "gram").select("row_key", "template", "label", "base", "size", "p", "q").distinct()
     votes = hits.groupBy("row_key", "template", "label", "base", "size", (F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.count("*").alias("votes"), F.min("p").alias("low"), F.max("p").alias("high"), F.collect_set("q").alias("qs"))
     votes = settle(votes, "license-votes")
