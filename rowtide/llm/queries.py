@@ -59,3 +59,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rowtide.llm.licenses import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    from rowtide.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    import public_tokenizers
+
+    from rowtide.llm.token_files import id_dtype, read, write
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return read(write(table(spark, sf_dir, "documents"), path, end_id=0), id_dtype(path))
