@@ -80,3 +80,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     return read(write(table(spark, sf_dir, "documents"), path, end_id=0), id_dtype(path))
+
+
+@query
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that leak into documents."""
+    from rowtide.llm.decontam import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
