@@ -88,3 +88,24 @@ def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rowtide.llm.decontam import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, indexed, and read back through the index."""
+    from rowtide.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+ORACLES["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM p
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM f
+"""
