@@ -31,8 +31,9 @@ def _process_cache() -> dict:
 def _chunk_starts(data, starts):
     """Where chunks begin in a buffer of UTF-8 texts that begin at ``starts``.
 
-    A chunk is white space plus what follows up to the next white space; a cut
-    is made in front of an ASCII white space whose predecessor is surely none.
+    A chunk is white space plus what follows up to the next white space or
+    punctuation; a cut is made in front of an ASCII white space whose
+    predecessor is surely none, and between a letter and a punctuation mark.
     """
     import numpy as np
 
@@ -47,6 +48,16 @@ def _chunk_starts(data, starts):
     for lead, before in ((0xC2, 2), (0xE1, 3), (0xE2, 3), (0xE3, 3)):
         at = odd[odd >= before]
         cut[at[data[at - before] == lead]] = False
+    # between a letter (ASCII or U+00C0-U+00FF) and one of these marks the tokenizers always cut too
+    mark = np.zeros(256, bool)
+    mark[list(b'!"#$%&()*,.:;?')] = True
+    letter = np.zeros(256, bool)
+    letter[65:91] = letter[97:123] = True
+    at = np.flatnonzero(mark[data])
+    at = at[at > 1]
+    before = data[at - 1]
+    high = (data[at - 2] == 0xC3) & (before >= 0x80) & (before <= 0xBF) & (before != 0x97) & (before != 0xB7)
+    cut[at[letter[before] | high]] = True
     cut[starts[starts < len(data)]] = True
     return np.flatnonzero(cut)
 
@@ -55,8 +66,8 @@ class ChunkTokenizer:
     """Token ids of whole texts, through a cache of their chunks.
 
     The tokenizers used here never let a token span from a non-space to a
-    space, so the ids of a text are the ids of its chunks (white space plus
-    the word behind it), one after the other. Natural words repeat: chunks
+    space or from a letter to a punctuation mark, so the ids of a text are the
+    ids of its chunks, one after the other. Natural words repeat: chunks
     are told apart with Arrow, and most are found in the cache, which holds
     ``most`` chunks and starts again when full; that changes time only.
     """
@@ -71,6 +82,8 @@ class ChunkTokenizer:
         if "tokenizer" not in shared:
             shared["tokenizer"] = Tokenizer.from_file(path)
         self.tokenizer = shared["tokenizer"]
+        # a tokenizer that drops white space takes many chunks as the lines of one text
+        self.drops_space = not self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.ids = shared.setdefault(str(dtype), {})
         self.dtype, self.most, self.longest = dtype, most, longest
 
@@ -81,6 +94,13 @@ class ChunkTokenizer:
         found = {}
         for at in range(0, len(chunks), 8192):
             part = chunks[at:at + 8192]
+            if self.drops_space:
+                encoding = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
+                ids = np.array(encoding.ids, self.dtype)
+                lines = np.cumsum([0] + [len(c) + 1 for c in part])
+                cuts = np.searchsorted(np.array([a for a, _ in encoding.offsets], np.int64), lines).tolist()
+                found.update((c, ids[a:b].tobytes()) for c, a, b in zip(part, cuts, cuts[1:], strict=False))
+                continue
             for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 found[c] = np.array(e.ids, self.dtype).tobytes()
         if len(self.ids) + len(found) > self.most:
