@@ -109,3 +109,17 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM f
 """
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    from rowtide.llm.pii import BASE, listed, spans
+
+    found = spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind, _ in BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
