@@ -19,7 +19,7 @@ the radius is dropped with all below it. Groups return a spanning forest
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.components import connected
@@ -197,6 +197,17 @@ def links(fps: DataFrame, radius: int, most: int = 4096) -> DataFrame:
     return found
 
 
+def classes(prints: DataFrame, radius: int) -> DataFrame:
+    """Rows with doc_id and fingerprint, with ``component_id`` (smallest doc_id
+    of the class, null if all are) and ``root`` (its smallest fingerprint)."""
+    nodes = settle(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first_doc")), "simhash-nodes")
+    roots = connected(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    placed = settle(nodes.join(roots, "fp", "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root")), "simhash-placed")
+    low = settle(placed.groupBy("root").agg(F.min("first_doc").alias("component_id")), "simhash-low")
+    named = settle(placed.join(low, "root").select(F.col("fp").alias("fingerprint"), "component_id", "root"), "simhash-named")
+    return prints.join(named, "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text; others ignored):
     doc_id, fingerprint (long), component_id (smallest doc_id reachable).
@@ -207,9 +218,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     result.
     """
     prints = settle(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fingerprint"), "fingerprints")
-    nodes = settle(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first_doc")), "simhash-nodes")
-    roots = connected(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    placed = settle(nodes.join(roots, "fp", "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root")), "simhash-placed")
-    low = settle(placed.groupBy("root").agg(F.min("first_doc").alias("component_id")), "simhash-low")
-    named = settle(placed.join(low, "root").select(F.col("fp").alias("fingerprint"), "component_id"), "simhash-named")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return classes(prints, radius).select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay: of each class that with
+    the smallest doc_id (null last, equal ones by a hash of the text), once."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fingerprint", text_hash.alias("text_hash"))
+    placed = classes(settle(marked, "fingerprints"), radius)
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("s"))
+    stay = settle(first.select(F.col("s.doc_id").alias("__rowtide_id"), F.col("s.text_hash").alias("__rowtide_hash")), "simhash-stay")
+    own = docs.withColumn("__rowtide_hash", text_hash)
+    kept = own.join(stay, own["doc_id"].eqNullSafe(stay["__rowtide_id"]) & (own["__rowtide_hash"] == stay["__rowtide_hash"]), "left_semi")
+    once = Window.partitionBy("doc_id", "__rowtide_hash").orderBy("text")
+    return kept.withColumn("__rowtide_n", F.row_number().over(once)).where("__rowtide_n = 1").select(*docs.columns)
