@@ -123,3 +123,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind, _ in BASE]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+@query
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-byte strings removed from all documents."""
+    from rowtide.llm.substrings import deduplicate
+
+    return deduplicate(table(spark, sf_dir, "documents"), length=50)
