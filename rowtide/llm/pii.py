@@ -132,9 +132,8 @@ def _occurrences(scanned: DataFrame, least_chars: int, least_digits: int) -> Dat
     seed kind of the instance there, or null."""
     words = scanned.dropDuplicates(["row_key"]).select("row_key", "base", F.explode("instances").alias("i")).select("row_key", "base", "i.*")
     inside = F.filter("base", lambda b: (b.start < F.col("end")) & (b.end > F.col("start")))
-    kind = F.get(inside, F.lit(0)).kind
-    for name, shape in SEEDS:
-        kind = F.coalesce(kind, F.when(F.col("core").rlike(shape), F.lit(name)))
+    shaped = [F.when(F.col("core").rlike(shape), F.lit(name)) for name, shape in SEEDS]
+    kind = F.coalesce(*shaped, F.get(inside, F.lit(0)).kind)  # digits in a longer seed are no card
     tidy = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
     left_two = tidy(F.regexp_extract("before", r"(\S+\s+\S+)\s+$", 1))
     left, right = tidy(F.regexp_extract("before", r"(\S+)\s+$", 1)), tidy(F.regexp_extract("after", r"^\s+(\S+)", 1))
@@ -174,7 +173,7 @@ def extract(docs: DataFrame, least_chars: int = 8, least_digits: int = 4, **limi
     adds, one row per row_key with an array of (start, place, end, kind).
 
     ``least_chars`` and ``least_digits`` are what an instance has at least.
-    A span that touches a base span is not added.
+    A word that a base span touches is not added, unless it has a seed's shape.
     """
     scanned = scan(docs.select("doc_id", "text"))
     seen = settle(_occurrences(scanned, least_chars, least_digits), "pii-occurrences")
