@@ -291,9 +291,7 @@ def _first_owners(bodies: list[bytes], owners, length: int):
 def _earlier(contexts: DataFrame, length: int, most: int) -> DataFrame:
     """(phrase, start): strings of phrases that stand in an earlier document
     than the phrase does, as places in the phrase."""
-    counted = contexts.groupBy("trigger").agg(F.count("*").alias("many"), F.min("owner").alias("low"), F.max("owner").alias("high"))
-    counted = settle(counted.where("low < high"), "trigger-counts")
-    mixed = contexts.join(counted, "trigger")
+    large = settle(contexts.groupBy("trigger").agg(F.count("*").alias("many")).where(F.col("many") > most).select("trigger"), "trigger-large")
 
     def order(batches):
         import numpy as np
@@ -302,6 +300,10 @@ def _earlier(contexts: DataFrame, length: int, most: int) -> DataFrame:
         if not parts:
             return
         rows = pd.concat(parts, ignore_index=True).sort_values("trigger", kind="stable").reset_index(drop=True)
+        by_trigger = rows.groupby("trigger")["owner"]
+        rows = rows[(by_trigger.transform("min") < by_trigger.transform("max")).to_numpy()].reset_index(drop=True)
+        if not len(rows):
+            return
         trigger = rows["trigger"].to_numpy()
         edge = np.append(np.flatnonzero(np.append(True, trigger[1:] != trigger[:-1])), len(rows))
         at = 0
@@ -315,10 +317,10 @@ def _earlier(contexts: DataFrame, length: int, most: int) -> DataFrame:
             yield pd.DataFrame({"phrase": part["phrase"].to_numpy()[row], "start": place.astype("int32")})
             at = to
 
-    few = mixed.where(F.col("many") <= most).select("trigger", "phrase", "start", "owner", "body")
+    few = contexts.join(large, "trigger", "left_anti").select("trigger", "phrase", "start", "owner", "body")
     by_order = few.repartition("trigger").mapInPandas(order, "phrase binary, start int")
     # a trigger with very many contexts: string by string, aggregated before the shuffle
-    strings = mixed.where(F.col("many") > most).select("phrase", "start", "owner", "body", F.posexplode(F.sequence(F.lit(1), F.col("n"))).alias("k", "from"))
+    strings = contexts.join(large, "trigger", "left_semi").select("phrase", "start", "owner", "body", F.posexplode(F.sequence(F.lit(1), F.col("n"))).alias("k", "from"))
     strings = strings.select("phrase", (F.col("start") + F.col("k")).alias("start"), "owner", F.substring("body", F.col("from"), F.lit(length)).alias("string"))
     low = settle(strings.groupBy("string").agg(F.min("owner").alias("low")), "string-owners")
     by_string = strings.join(low, "string").where("low < owner").select("phrase", "start")
