@@ -71,6 +71,12 @@ def finish_marks(started: DataFrame, completed_at: Column, row_count: Column | N
     )
 
 
+def in_memory(marks: DataFrame) -> DataFrame:
+    """The marks of one run (a row per batch) fixed as they are now, so that
+    what is written later does not depend on reading the ledger again."""
+    return marks.sparkSession.createDataFrame(marks.collect(), marks.schema)
+
+
 def expire(ledger: DataFrame, as_of: Column, ttl_days: int = TTL_DAYS) -> DataFrame:
     """L4: rows younger than the TTL."""
     return ledger.filter(F.col("started_at") >= as_of - F.make_interval(days=F.lit(ttl_days)))

@@ -55,6 +55,12 @@ def _typed_like(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
 
 
+def extend_columns(target: DataFrame, staged: DataFrame) -> DataFrame:
+    """Q2: the target with the batch's new columns, NULL in its rows."""
+    new = [f for f in staged.schema.fields if f.name not in target.columns]
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
+
+
 # J1 -------------------------------------------------------------------------
 def merge_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                   small: bool | None = None) -> DataFrame:
@@ -153,7 +159,7 @@ def newer_than_target(target: DataFrame, staged: DataFrame, keys: Sequence[str],
 # J8 -------------------------------------------------------------------------
 def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
                   soft_delete: bool = False, ordered: bool = True,
-                  small: bool | None = None) -> DataFrame:
+                  small: bool | None = None, column_wise: bool = False) -> DataFrame:
     """Apply typed latest-per-key changes (``_op`` + order columns) to a state.
 
     The state keeps one row per key including tombstones (``_op = 'd'``)
@@ -163,15 +169,18 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
     ``before`` image (falling back to the state's when the image lacks
     them) and gets ``deleted_at`` = event time; an upsert clears it.
 
-    The size check runs once, on ``changes``; every join below works on a
-    subset of it.
+    ``column_wise`` updates only the columns of ``changes`` (J2), so columns
+    that others keep in the state survive. Columns that the state lacks are
+    added. The size check runs once, on ``changes``; every join below works on
+    a subset of it.
     """
     keys = list(keys)
+    state = extend_columns(state, changes)
     if small is None:
         small = is_broadcastable(changes)  # widest side broadcast below is a subset of it
     accepted = newer_than_target(state, changes, keys, small=small) if ordered else changes
     skip = set(keys) | set(ORDER_COLUMNS) | {"_op", "deleted_at"}
-    attrs = [c for c in state.columns if c not in skip]
+    attrs = [c for c in state.columns if c not in skip and c in changes.columns]
     is_del = F.col("_op") == "d"
     if soft_delete:
         dkeys = accepted.filter(is_del).select(*keys)
@@ -188,6 +197,8 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
         accepted = accepted.select(
             *keys, *[F.when(~is_del, F.col(a)).alias(a) for a in attrs], "_op", *ORDER_COLUMNS,
         )
+    if column_wise:
+        return merge_update(state, accepted, keys, small=small)
     return merge_replace(state, accepted, keys, small=small)
 
 

@@ -48,7 +48,7 @@ def _staged(staged: DataFrame, keys, attrs, effective: Column, strict: bool) ->
 
 
 def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, strict: bool = False, small: bool | None = None) -> DataFrame:
+               effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
     """Current rows after closing those whose attributes changed.
 
     Returns every current row of ``dim``; changed ones get
@@ -68,7 +68,7 @@ def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Se
 
 
 def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-                effective: Column, strict: bool = False, small: bool | None = None) -> DataFrame:
+                effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
     """New open versions for new keys and for keys whose attributes changed."""
     keys = list(keys)
     st = _staged(staged, keys, attrs, effective, strict)
@@ -87,7 +87,7 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, strict: bool = False, small: bool | None = None) -> DataFrame:
+               effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
     """J3 + J4: the full dimension after applying a batch of upserts."""
     small = is_broadcastable(staged) if small is None else small
     history = dim.filter(~F.col("is_current"))
@@ -113,9 +113,22 @@ def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effecti
     return dim.filter(~F.col("is_current")).unionByName(closed)
 
 
+def scd2_in_order(dim: DataFrame, staged: DataFrame, keys: Sequence[str], effective: Column) -> DataFrame:
+    """J9 for SCD2: staged rows with ``_late`` = not after the key's last boundary.
+
+    The boundary is the latest ``valid_from`` or ``valid_to`` of the key. A row
+    at or before it is a replay or an older event: applying it would close a
+    version before it began. The caller leaves late rows out and reports them.
+    """
+    keys = list(keys)
+    last = dim.groupBy(*keys).agg(F.max(F.greatest("valid_from", "valid_to")).alias("_last"))
+    joined = staged.withColumn("_eff", effective.cast("timestamp_ntz")).join(last, keys, "left")
+    return joined.withColumn("_late", F.coalesce(F.col("_eff") <= F.col("_last"), F.lit(False))).drop("_eff", "_last")
+
+
 def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                  order: Sequence[Column], ts_ms: str = "_ts_ms", op: str = "_op",
-                 strict: bool = False, segment_seconds: int = 3600) -> DataFrame:
+                 strict: bool = True, segment_seconds: int = 3600) -> DataFrame:
     """Versions from the whole change log (every event, not latest only).
 
     An event opens a version unless it repeats the previous event's tracked

@@ -2,10 +2,13 @@
 
 ``process_batch`` is what a scheduled job or a stream's ``foreachBatch``
 calls. Per batch: classify lines (bad ones to the quarantine table), keep
-the latest change per key of each table, then apply it to every enabled
-sink of the table's contract. Sinks fail independently; their errors are
-kept as rows of the result. The ledger row is written last, so a crash
-re-applies the batch, and the ordered merges make that a no-op.
+the latest change per typed key of each table, then apply it to every enabled
+sink of the table's contract. Values that do not cast go to the quarantine
+with their line and never reach a target. Sinks fail independently; their
+errors are kept as rows of the result, and with ``raise_on_error`` the batch
+raises once all had their try, so the caller replays it. The ledger row is
+written last, so a crash re-applies the batch, and the ordered merges, the
+event keys and the per-batch quarantine folder make that a no-op.
 
 Scale: the classified batch is persisted once; per table the typed
 changes are persisted once and their size checked once; every merge reads
@@ -15,8 +18,10 @@ tables and sinks (a handful), never over rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +31,10 @@ from rowtide.contracts import REGISTRY, SINKS, TableContract, contract_table
 from rowtide.functions.sizing import is_broadcastable
 from rowtide.functions.time import ms_to_ntz
 from rowtide.operators import ledger as L
-from rowtide.operators.envelope import flatten_envelope, latest_change_per_key, typed_changes
-from rowtide.operators.merge import apply_changes
+from rowtide.operators.envelope import flatten_envelope, latest_typed_per_key, typed_changes
+from rowtide.operators.merge import apply_changes, extend_columns
 from rowtide.operators.quality import classify
-from rowtide.operators.scd2 import open_versions, scd2_delete, scd2_merge
+from rowtide.operators.scd2 import open_versions, scd2_delete, scd2_in_order, scd2_merge
 from rowtide.schemas import LEDGER, WRITE_RESULT
 from rowtide.sinks import fs
 from rowtide.sinks.log import append_silver
@@ -41,11 +46,14 @@ from rowtide.sources.changelog import parse_change_lines, split_glued
 @dataclass
 class JobConfig:
     root: str
-    job_name: str = "cdc_to_sinks"
+    job_name: str = "apply_changes"
     enabled_sinks: tuple[str, ...] = SINKS
     registry: dict[str, TableContract] = field(default_factory=lambda: dict(REGISTRY))
-    num_buckets: int = 64
+    num_buckets: int = 64  # of tables that the job creates
     parallel_jobs: int = 4
+    renames: dict[str, dict[str, str]] = field(default_factory=dict)  # table → column → old name
+    # sinks of the user: name → fn(spark, contract, typed changes, batch id); contracts name them like others
+    extra_sinks: dict[str, Callable[[SparkSession, TableContract, DataFrame, str], None]] = field(default_factory=dict)
 
     def table_root(self, sink: str, c: TableContract) -> str:
         return f"{self.root.rstrip('/')}/{sink}/{c.db_name}.{c.table_name}"
@@ -63,14 +71,24 @@ class JobConfig:
         return f"{self.root.rstrip('/')}/_silver"
 
 
+class SinkError(RuntimeError):
+    """A sink of the batch failed; the others have been applied."""
+
+
 def _read_ledger(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     if fs.exists(spark, cfg.ledger_root):
         return spark.read.schema(LEDGER).parquet(cfg.ledger_root)
     return spark.createDataFrame([], LEDGER)
 
 
+def open_table(spark, cfg: JobConfig, root: str, c: TableContract) -> VersionedTable:
+    """The table there with its own bucket count; a new one gets the job's."""
+    t = VersionedTable(spark, root, c.primary_keys)
+    return t if t.version() is not None else VersionedTable(spark, root, c.primary_keys, cfg.num_buckets)
+
+
 def state_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: DataFrame, soft: bool) -> VersionedTable:
-    t = VersionedTable(spark, cfg.table_root(sink, c), c.primary_keys, cfg.num_buckets)
+    t = open_table(spark, cfg, cfg.table_root(sink, c), c)
     if t.version() is None:
         empty = template.where(F.lit(False))
         if soft:
@@ -80,7 +98,7 @@ def state_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Da
 
 
 def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: DataFrame) -> VersionedTable:
-    t = VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys, cfg.num_buckets)
+    t = open_table(spark, cfg, cfg.table_root(sink + "_scd2", c), c)
     if t.version() is None:
         cols = template.select(*c.primary_keys, *c.attribute_columns).where(F.lit(False))
         t.create(open_versions(cols, F.lit(None)).schema)
@@ -89,6 +107,11 @@ def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Dat
 
 def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, small: bool, batch_id: str) -> None:
     keys = list(c.primary_keys)
+    if sink in cfg.extra_sinks:
+        cfg.extra_sinks[sink](spark, c, typed, batch_id)
+        return
+    if sink not in SINKS:
+        raise ValueError(f"{c.fqn} names a sink that nobody provides: {sink}")
     if sink == "search":
         deleted = F.col("_op") == "d"
         acts = search_actions(typed, c, deleted=deleted, deleted_at=ms_to_ntz("_ts_ms"))
@@ -96,55 +119,71 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
         return
     if sink == "warehouse" and c.scd2:
         t = scd2_table(spark, cfg, sink, c, typed)
-        ups = typed.filter(F.col("_op") != "d")
-        dels = typed.filter(F.col("_op") == "d")
         eff = ms_to_ntz("_ts_ms")
 
         def fn(target, staged):
+            target = extend_columns(target, staged.select(*keys, *c.attribute_columns))
+            rows = scd2_in_order(target, staged, keys, eff).filter(~F.col("_late")).drop("_late")
+            ups, dels = rows.filter(F.col("_op") != "d"), rows.filter(F.col("_op") == "d")
             merged = scd2_merge(target, ups, keys, list(c.attribute_columns), eff, small=small)
             return scd2_delete(merged, dels, keys, eff, small=small)
 
-        t.merge(typed.select(*keys), fn)
+        t.merge(typed, fn)
         return
     # warehouse (upsert) and row store: current state with tombstones and
-    # the order guard; the row store ignores scd2
+    # the order guard; the row store ignores scd2 and updates column by column
     t = state_table(spark, cfg, sink, c, typed, c.soft_delete)
-    t.merge(typed, lambda target, staged: apply_changes(target, staged, keys, soft_delete=c.soft_delete, small=small))
+    t.merge(typed, lambda target, staged: apply_changes(
+        target, staged, keys, soft_delete=c.soft_delete, small=small, column_wise=sink == "rowstore"))
+
 
+def _conflict_reason(c: TableContract):
+    """Q3: ``key_conflict`` when a key value does not cast (or is NULL), else
+    ``schema_conflict`` when another value does not; NULL when all do."""
+    no_key = F.lit(False)
+    for k in c.primary_keys:
+        no_key = no_key | F.col(k).isNull()
+    return F.when(no_key, "key_conflict").when(F.size("_schema_conflict") > 0, "schema_conflict")
 
-def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig) -> DataFrame:
+
+def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig,
+                  raise_on_error: bool = False) -> DataFrame:
     """Apply one batch of raw JSON lines (column ``value``); returns write results."""
     ledger = _read_ledger(spark, cfg)
     batch = spark.createDataFrame([(cfg.job_name, batch_id)], "job_name string, batch_id string")
     if not L.pending_batches(batch, ledger).take(1):
         return spark.createDataFrame([], WRITE_RESULT)  # J12: already SUCCESS
-    started = L.start_marks(batch, ledger, F.current_timestamp())
+    started = L.in_memory(L.start_marks(batch, ledger, F.current_timestamp()))  # one row
     started.write.mode("append").parquet(cfg.ledger_root)
-    started = spark.read.schema(LEDGER).parquet(cfg.ledger_root).filter(
-        (F.col("batch_id") == batch_id) & (F.col("status") == L.STARTED))
-    started = L.ledger_current(started)
 
     contracts = contract_table(spark, cfg.registry.values())
     classified = classify(parse_change_lines(split_glued(lines)), contracts).persist(StorageLevel.MEMORY_AND_DISK)
     results, persisted = [], [classified]
     try:
-        bad = classified.filter(F.col("reason").isNotNull())
-        fs.for_partitioned_write(bad.select("reason", "raw", F.lit(batch_id).alias("batch_id")), "reason") \
-            .write.mode("append").partitionBy("reason").parquet(cfg.quarantine_root)
+        bad = classified.filter(F.col("reason").isNotNull()).select("reason", "raw")
         good = classified.filter(F.col("reason").isNull())
         present = [(r[0], r[1]) for r in good.select(
             F.col("payload.source.db"), F.col("payload.source.table")).distinct().collect()]  # ≤ #contracts
+        tables = {}
+        for db, table in sorted(present):
+            c = cfg.registry[f"{db}.{table}"]
+            rows = good.filter((F.col("payload.source.db") == db) & (F.col("payload.source.table") == table))
+            flat = flatten_envelope(rows, c.primary_keys, keep=["raw"])
+            cast = typed_changes(flat, c, cfg.renames.get(c.fqn), with_conflicts=True, keep=["raw"])
+            cast = cast.withColumn("reason", _conflict_reason(c)).persist(StorageLevel.MEMORY_AND_DISK)
+            persisted.append(cast)
+            bad = bad.unionByName(cast.filter(F.col("reason").isNotNull()).select("reason", "raw"))
+            tables[c.fqn] = c, flat.drop("raw"), cast.filter(F.col("reason").isNull()).drop("reason", "raw", "_schema_conflict")
+        # one folder per batch: a retry replaces what it quarantined before
+        fs.for_partitioned_write(bad, "reason").write.mode("overwrite").partitionBy("reason") \
+            .parquet(f"{cfg.quarantine_root}/batch_id={quote(batch_id, safe='')}")
         # the silver append and the sinks of a table are independent jobs: they
         # run concurrently (one driver thread each) so small jobs share the
         # executors; silver appends to the one silver root stay one at a time
         with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
-            for db, table in sorted(present):
-                c = cfg.registry[f"{db}.{table}"]
-                rows = good.filter((F.col("payload.source.db") == db) & (F.col("payload.source.table") == table))
-                flat = flatten_envelope(rows, c.primary_keys)
+            for c, flat, cast in tables.values():
                 silver = pool.submit(append_silver, flat, cfg.silver_root)
-                typed = typed_changes(latest_change_per_key(flat, c.primary_keys), c) \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
+                typed = latest_typed_per_key(cast, c).persist(StorageLevel.MEMORY_AND_DISK)
                 persisted.append(typed)
                 counts = typed.agg(
                     F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
@@ -152,18 +191,22 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
                 ).first()  # one row
                 small = is_broadcastable(typed)  # every broadcast side of the merges is a part of it
                 jobs = [(sink, pool.submit(_apply_sink, spark, cfg, sink, c, typed, small, batch_id))
-                        for sink in c.sinks if sink in cfg.enabled_sinks]
+                        for sink in c.sinks if sink in cfg.enabled_sinks or sink in cfg.extra_sinks]
                 for sink, job in jobs:
                     try:
                         job.result()
                         results.append((sink, c.fqn, int(counts["u"] or 0), int(counts["d"] or 0), []))
                     except Exception as e:  # noqa: BLE001 - sinks fail independently
-                        results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"[:1000]]))
+                        results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"]))
                 silver.result()  # a failed silver append fails the batch
         errors = [e for r in results for e in r[4]]
         total = sum(r[2] + r[3] for r in results)
-        err = F.lit("; ".join(errors)[: L.ERROR_LIMIT]) if errors else None
+        err = F.lit("; ".join(errors)) if errors else None
         L.finish_marks(started, F.current_timestamp(), F.lit(total), err).write.mode("append").parquet(cfg.ledger_root)
+        if errors and raise_on_error:
+            raise SinkError("; ".join(errors))
+    except SinkError:
+        raise
     except Exception as e:
         L.finish_marks(started, F.current_timestamp(), None, F.lit(f"{type(e).__name__}: {e}")) \
             .write.mode("append").parquet(cfg.ledger_root)
@@ -178,9 +221,9 @@ def read_current(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContrac
     """Readers' view of a current-state sink table."""
     from rowtide.operators.merge import visible
 
-    t = VersionedTable(spark, cfg.table_root(sink, c), c.primary_keys, cfg.num_buckets)
+    t = VersionedTable(spark, cfg.table_root(sink, c), c.primary_keys)
     return visible(t.read(), soft_delete=c.soft_delete)
 
 
 def read_scd2(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> DataFrame:
-    return VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys, cfg.num_buckets).read()
+    return VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys).read()

@@ -6,19 +6,25 @@ cluster), each call into a fresh folder.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from rowtide.operators import ledger as L
 from rowtide.operators.envelope import current_state
-from rowtide.plans.batch_job import JobConfig, process_batch
+from rowtide.operators.metrics import run_totals
+from rowtide.plans.batch_job import JobConfig, process_batch, read_scd2
 from rowtide.plans.common import PART, USERS, event_lines, flat_events, with_flat
 from rowtide.plans.q_envelope import SQL_CURRENT_USERS
 from rowtide.plans.registry import query
+from rowtide.schemas import LEDGER
 from rowtide.session import scratch_path
-from rowtide.sinks.log import append_silver, stage_batch
+from rowtide.sinks.log import append_log, append_silver, stage_batch
 from rowtide.sinks.search import search_actions
 from rowtide.sinks.versioned import VersionedTable
 from rowtide.sources import landing
-from rowtide.sources.changelog import parse_change_lines
+from rowtide.sources.changelog import parse_change_lines, read_change_lines
 from rowtide.sources.fixtures import event_envelope_lines, event_payload, load
 from rowtide.operators.envelope import flatten_envelope
 from rowtide.streaming import stream as S
@@ -50,14 +56,15 @@ def q_replay_scan(spark, sf_dir):
 
 
 @query("replay_plan", """
+WITH r AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events)
 SELECT 'app' AS db_name, 'users' AS table_name, CAST(d AS DATE) AS dt, CAST(h AS INTEGER) AS hour
-FROM (SELECT DISTINCT 1 FROM events) e,
-     generate_series(DATE '2024-01-10', DATE '2024-01-12', INTERVAL 1 DAY) AS g(d), generate_series(0, 23) AS s(h)
+FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS d FROM r), generate_series(0, 23) AS s(h)
 """)
 def q_replay_plan(spark, sf_dir):
-    """Hours × tables of the range, for the tables present in the log."""
-    tables = flat_events(spark, sf_dir).select("db_name", "table_name").distinct()
-    return landing.replay_plan(tables, REPLAY_START, REPLAY_END)
+    """Hours × tables of the landed range; tables and dates come from the landed files."""
+    parts = landing.touched_partitions(landing.landed_files(spark, _landed(spark, sf_dir)))
+    span = parts.agg(F.min("dt").cast("string"), F.max("dt").cast("string")).first()  # one row
+    return landing.replay_plan(parts.select("db_name", "table_name").distinct(), *span)
 
 
 @query("touched_partitions", """
@@ -106,16 +113,20 @@ def q_search_actions(spark, sf_dir):
 
 
 @query("append_log", with_flat("""
-SELECT db_name, table_name, CAST(ts AS DATE) AS dt, op, count(*) AS n_events FROM flat GROUP BY 1, 2, 3, 4
+SELECT t.log, db_name, table_name, CAST(ts AS DATE) AS dt, op, pk_hash, ts_ms, binlog_file, binlog_pos, CAST(n AS BIGINT) AS n_copies
+FROM flat, (VALUES ('log', 2), ('silver', 1)) t(log, n)
 """))
 def q_append_log(spark, sf_dir):
-    """K5/K6: append the log twice to the silver table; the second adds nothing."""
-    root = scratch_path(spark, "silver")
-    flat = flat_events(spark, sf_dir)
-    append_silver(flat, root)
-    append_silver(flat, root)  # replayed batch: deduplicated on event key
-    log = spark.read.parquet(root)
-    return log.groupBy("db_name", "table_name", "dt", "op").agg(F.count(F.lit(1)).alias("n_events"))
+    """K5/K6: the log appended twice; the change log keeps both, the silver table one of each."""
+    root = scratch_path(spark, "appended")
+    flat = flat_events(spark, sf_dir).drop("before", "after")
+    parts = []
+    for name, append in (("log", append_log), ("silver", append_silver)):
+        append(flat, f"{root}-{name}")
+        append(flat, f"{root}-{name}")
+        parts.append(spark.read.parquet(f"{root}-{name}").withColumn("log", F.lit(name)))
+    return parts[0].unionByName(parts[1]).groupBy(
+        "log", "db_name", "table_name", "dt", "op", "pk_hash", "ts_ms", "binlog_file", "binlog_pos").agg(F.count("*").alias("n_copies"))
 
 
 @query("versioned_table", with_flat(SQL_CURRENT_USERS))
@@ -130,15 +141,210 @@ def q_versioned_table(spark, sf_dir):
 
 @query("batch_job", with_flat("""
 latest AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, file_seq DESC, binlog_pos DESC) = 1)
-SELECT s.sink, 'app.users' AS table_name, count(*) FILTER (WHERE op <> 'd') AS upserted,
-  count(*) FILTER (WHERE op = 'd') AS deleted, 0 AS n_errors
-FROM latest, (VALUES ('warehouse'), ('rowstore')) s(sink) GROUP BY s.sink
+SELECT s.sink, user_id, dvalue AS value, props, event_type, ts_ms AS updated_ts_ms
+FROM latest, (VALUES ('warehouse'), ('rowstore')) s(sink) WHERE op <> 'd'
 """))
 def q_batch_job(spark, sf_dir):
-    """The whole log as one batch to every sink; per-sink results."""
+    """The whole log as one batch to every sink, both sinks read back."""
+    cfg = JobConfig(root=scratch_path(spark, "job"), num_buckets=8)
+    process_batch(spark, event_lines(spark, sf_dir), "batch-1", cfg)
+    return _both_sinks(spark, cfg)
+
+
+def _both_sinks(spark, cfg):
+    """The stored rows of the users in both state sinks."""
+    parts = []
+    for sink in ("warehouse", "rowstore"):
+        state = VersionedTable(spark, cfg.table_root(sink, USERS), USERS.primary_keys).read().filter(F.col("_op") != "d")
+        parts.append(state.select(F.lit(sink).alias("sink"), *USERS.columns, F.col("_ts_ms").alias("updated_ts_ms")))
+    return parts[0].unionByName(parts[1])
+
+
+SQL_BOTH_SINKS = """
+latest AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, file_seq DESC, binlog_pos DESC) = 1)
+SELECT s.sink, user_id, dvalue AS value, props, event_type, ts_ms AS updated_ts_ms
+FROM latest, (VALUES ('warehouse'), ('rowstore')) s(sink) WHERE op <> 'd'
+"""
+
+
+@query("run_totals", with_flat("""
+latest AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, file_seq DESC, binlog_pos DESC) = 1)
+SELECT CAST(2 * count(*) FILTER (WHERE op <> 'd') AS BIGINT) AS upserted, CAST(2 * count(*) FILTER (WHERE op = 'd') AS BIGINT) AS deleted,
+  CAST(1 AS BIGINT) AS tables, false AS any_error FROM latest
+"""))
+def q_run_totals(spark, sf_dir):
+    """A3: totals over the write results of a job."""
     cfg = JobConfig(root=scratch_path(spark, "job"), num_buckets=8)
-    res = process_batch(spark, event_lines(spark, sf_dir), "batch-1", cfg)
-    return res.select("sink", "table_name", "upserted", "deleted", F.size("errors").alias("n_errors"))
+    results = process_batch(spark, event_lines(spark, sf_dir), "batch-1", cfg)
+    return run_totals(results).drop("first_errors")
+
+
+@query("versioned_merge", with_flat(SQL_CURRENT_USERS))
+def q_versioned_merge(spark, sf_dir):
+    """K2: the log merged as three batches, the middle one twice, then read back."""
+    cfg = JobConfig(root=scratch_path(spark, "merge"), num_buckets=8, enabled_sinks=("warehouse",))
+    ev = load(spark, sf_dir, "events")
+    for k, part in enumerate((0, 2, 1, 2)):  # out of order: late batches must not win
+        rows = ev.filter(F.pmod(F.dayofyear("ts"), F.lit(3)) == part)
+        process_batch(spark, event_envelope_lines(rows), f"batch-{k}", cfg)
+    state = VersionedTable(spark, cfg.table_root("warehouse", USERS), USERS.primary_keys).read()
+    return state.filter(F.col("_op") != "d").select(*USERS.columns, F.col("_ts_ms").alias("updated_ts_ms"))
+
+
+@query("schema_evolution", with_flat("""
+latest AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, file_seq DESC, binlog_pos DESC) = 1)
+SELECT user_id, dvalue AS value, props, event_type,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN json_extract_string(props, '$.k') END AS k
+FROM latest WHERE op <> 'd'
+"""))
+def q_schema_evolution(spark, sf_dir):
+    """Q2: the contract gains a column between two batches; older rows have NULL."""
+    cfg = JobConfig(root=scratch_path(spark, "evolution"), num_buckets=8, enabled_sinks=("warehouse",))
+    wider = replace(USERS, attribute_columns=(*USERS.attribute_columns, "k"))
+    ev, split = load(spark, sf_dir, "events"), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    process_batch(spark, event_envelope_lines(ev.filter(F.col("ts") < split)), "before", cfg)
+    after = replace(cfg, registry={**cfg.registry, USERS.fqn: wider})
+    process_batch(spark, event_envelope_lines(ev.filter(F.col("ts") >= split)), "after", after)
+    state = VersionedTable(spark, cfg.table_root("warehouse", USERS), USERS.primary_keys).read()
+    return state.filter(F.col("_op") != "d").select(*wider.columns)
+
+
+@query("rowstore_keeps_columns", with_flat("""
+latest AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, file_seq DESC, binlog_pos DESC) = 1)
+SELECT user_id, dvalue AS value, props, event_type,
+  CASE WHEN EXISTS (SELECT 1 FROM flat f WHERE f.user_id = latest.user_id AND f.ts < TIMESTAMP '2024-01-16 00:00:00')
+       THEN 'note ' || CAST(user_id AS VARCHAR) END AS note
+FROM latest WHERE op <> 'd'
+"""))
+def q_rowstore_keeps_columns(spark, sf_dir):
+    """A column that others write in the row store survives later batches."""
+    cfg = JobConfig(root=scratch_path(spark, "rowstore"), num_buckets=8, enabled_sinks=("rowstore",))
+    ev, split = load(spark, sf_dir, "events"), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    process_batch(spark, event_envelope_lines(ev.filter(F.col("ts") < split)), "before", cfg)
+    table = VersionedTable(spark, cfg.table_root("rowstore", USERS), USERS.primary_keys)
+    keys = table.read().select("user_id")
+    table.merge(keys, lambda target, _: target.withColumn("note", F.concat(F.lit("note "), F.col("user_id").cast("string"))))
+    process_batch(spark, event_envelope_lines(ev.filter(F.col("ts") >= split)), "after", cfg)
+    state = VersionedTable(spark, cfg.table_root("rowstore", USERS), USERS.primary_keys).read()
+    return state.filter(F.col("_op") != "d").select(*USERS.columns, "note")
+
+
+@query("job_quarantine", """
+SELECT CASE WHEN event_id % 10 = 0 THEN 'key_conflict' ELSE 'schema_conflict' END AS reason, count(*) AS n_lines
+FROM events WHERE event_id % 10 IN (0, 1) AND event_type <> 'error' GROUP BY 1
+""")
+def q_job_quarantine(spark, sf_dir):
+    """Q3/Q4 in the job, run twice: values and keys that do not cast, counted in the stored quarantine."""
+    cfg = JobConfig(root=scratch_path(spark, "quarantine"), num_buckets=8)
+    ev = load(spark, sf_dir, "events")
+    digit = F.pmod(F.col("event_id"), F.lit(10))
+    live = F.col("event_type") != "error"
+    pay = event_payload()
+    bad_key = pay.withField("after", F.map_concat(F.map_filter(pay["after"], lambda k, _: k != "user_id"), F.create_map(F.lit("user_id"), F.lit("abc"))))
+    bad_value = pay.withField("after", F.map_concat(F.map_filter(pay["after"], lambda k, _: k != "value"), F.create_map(F.lit("value"), F.lit("9.9x"))))
+    line = F.when(live & (digit == 0), bad_key).when(live & (digit == 1), bad_value).otherwise(pay)
+    lines = ev.select(F.to_json(F.struct(line.alias("payload"))).alias("value"))
+    process_batch(spark, lines, "batch-1", replace(cfg, job_name="first"))
+    process_batch(spark, lines, "batch-1", replace(cfg, job_name="second"))  # a retry quarantines nothing twice
+    return spark.read.parquet(cfg.quarantine_root).groupBy("reason").agg(F.count("*").alias("n_lines"))
+
+
+@query("ledger_two_jobs", """
+SELECT job, 'b1' AS batch_id, status FROM (VALUES ('first', 'SUCCESS'), ('second', 'FAILED')) v(job, status), (SELECT count(*) > 0 AS some FROM events) e
+WHERE e.some
+""")
+def q_ledger_two_jobs(spark, sf_dir):
+    """L2/L3: a job's finish mark leaves another job's batch of the same id alone."""
+    cfg = JobConfig(root=scratch_path(spark, "two-jobs"), num_buckets=8, enabled_sinks=("warehouse",))
+    lines = event_lines(spark, sf_dir)
+    process_batch(spark, lines, "b1", replace(_with_failing_sink(cfg), job_name="second"))
+    process_batch(spark, lines, "b1", replace(cfg, job_name="first"))
+    ledger = L.ledger_current(spark.read.schema(LEDGER).parquet(cfg.ledger_root))
+    return ledger.select(F.col("job_name").alias("job"), "batch_id", "status")
+
+
+def _failing(spark, contract, typed, batch_id):
+    raise OSError(f"{contract.fqn}: this sink is down")
+
+
+def _with_failing_sink(cfg, *sinks):
+    """The job with a user's sink that fails behind the named sinks of the users table."""
+    users = replace(USERS, sinks=(*sinks, "down"))
+    return replace(cfg, registry={**cfg.registry, USERS.fqn: users}, extra_sinks={"down": _failing})
+
+
+@query("stream_retry", with_flat(SQL_BOTH_SINKS))
+def q_stream_retry(spark, sf_dir):
+    """The row store fails in the first run; the restarted stream replays the epoch into both sinks."""
+    src, root, ckpt = _stream_source(spark, sf_dir), scratch_path(spark, "retry-job"), scratch_path(spark, "retry-ckpt")
+    cfg = JobConfig(root=root, num_buckets=8)
+    first = S.run_to_tables(spark, src, _with_failing_sink(cfg, "warehouse"), ckpt)
+    try:
+        first.awaitTermination()
+        raise AssertionError("the failed sink did not fail the stream")
+    except StreamingQueryException:
+        pass
+    S.run_to_tables(spark, src, cfg, ckpt).awaitTermination()
+    return _both_sinks(spark, cfg)
+
+
+@query("stream_two_checkpoints", with_flat(SQL_BOTH_SINKS))
+def q_stream_two_checkpoints(spark, sf_dir):
+    """Two streams into one root, each with epochs from 0, lose nothing."""
+    cfg = JobConfig(root=scratch_path(spark, "two-job"), num_buckets=8)
+    ev = load(spark, sf_dir, "events")
+    for part in (0, 1):
+        src = scratch_path(spark, "two-src")
+        event_envelope_lines(ev.filter(F.pmod(F.col("event_id"), F.lit(2)) == part)).write.text(src)
+        S.run_to_tables(spark, src, cfg, scratch_path(spark, "two-ckpt")).awaitTermination()
+    return _both_sinks(spark, cfg)
+
+
+@query("scd2_job", """
+WITH e AS (
+  SELECT user_id, CAST(value AS DECIMAL(12,2)) AS value, event_type, ts, CAST(ts AS DATE) AS d,
+    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC) AS rn
+  FROM events WHERE ts < TIMESTAMP '2024-01-05 00:00:00'
+), f AS (
+  SELECT *, epoch_us(ts) // 1000 AS t, lag(event_type) OVER w AS pt, lag(value) OVER w AS pv FROM e WHERE rn = 1
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), v AS (
+  SELECT *, lead(t) OVER (PARTITION BY user_id ORDER BY t) AS nt FROM f
+  WHERE (event_type = 'error' AND pt IS NOT NULL AND pt <> 'error')
+     OR (event_type <> 'error' AND (pt IS NULL OR pt = 'error' OR pt <> event_type OR pv <> value))
+)
+SELECT user_id, value, event_type, make_timestamp(t * 1000) AS valid_from, make_timestamp(nt * 1000) AS valid_to, nt IS NULL AS is_current
+FROM v WHERE event_type <> 'error'
+""")
+def q_scd2_job(spark, sf_dir):
+    """Daily batches into the stored SCD2 table; the first
+    days sent again afterwards change nothing."""
+    contract = replace(USERS, attribute_columns=("value", "event_type"), scd2=True, sinks=("warehouse",))
+    cfg = JobConfig(root=scratch_path(spark, "scd2-job"), num_buckets=8)
+    cfg = replace(cfg, registry={**cfg.registry, USERS.fqn: contract})
+    ev = load(spark, sf_dir, "events")
+    for k, day in enumerate((1, 2, 3, 4, 1, 3)):
+        rows = ev.filter(F.to_date("ts") == F.lit(f"2024-01-0{day}").cast("date"))
+        process_batch(spark, event_envelope_lines(rows), f"batch-{k}", cfg)
+    return read_scd2(spark, cfg, "warehouse", contract)
+
+
+@query("land_glued", """
+SELECT 'app' AS db_name, 'users' AS table_name, CAST(ts AS DATE) AS dt, count(*) AS n_events FROM events GROUP BY 3
+UNION ALL
+SELECT 'app', 'sessions', CAST(ts AS DATE), count(*) FROM events WHERE event_id % 3 = 0 GROUP BY 3
+""")
+def q_land_glued(spark, sf_dir):
+    """Gzip files whose lines hold two records of different tables, read from disk and landed."""
+    src, root = scratch_path(spark, "glued-src"), scratch_path(spark, "glued")
+    pay = event_payload()
+    one = F.to_json(F.struct(pay.alias("payload")))
+    other = F.concat(F.lit(" { "), F.substring(F.to_json(F.struct(pay.withField("source.table", F.lit("sessions")).alias("payload"))), 2, 2**30))
+    ev = load(spark, sf_dir, "events")
+    ev.select(F.when(F.pmod(F.col("event_id"), F.lit(3)) == 0, F.concat(one, other)).otherwise(one).alias("value")) \
+        .write.option("compression", "gzip").text(src)
+    landing.land_lines(read_change_lines(spark, src), root, root + "-errors")
+    return landing.read_landed(spark, root).groupBy("db_name", "table_name", "dt").agg(F.count("*").alias("n_events"))
 
 
 @query("stream_current_state", with_flat(SQL_CURRENT_USERS))
@@ -151,7 +357,7 @@ def q_stream_current_state(spark, sf_dir):
     cfg = JobConfig(root=scratch_path(spark, "stream-job"), num_buckets=8)
     q = S.run_to_tables(spark, src, cfg, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=12)
     q.awaitTermination()
-    state = VersionedTable(spark, cfg.table_root("warehouse", USERS), USERS.primary_keys, 8).read()
+    state = VersionedTable(spark, cfg.table_root("warehouse", USERS), USERS.primary_keys).read()
     return state.filter(F.col("_op") != "d").select(*USERS.columns, F.col("_ts_ms").alias("updated_ts_ms"))
 
 
@@ -168,11 +374,17 @@ def _stream_source(spark, sf_dir, copies: int = 1):
 SELECT db_name, table_name, pk_hash, op, ts_ms, binlog_file, binlog_pos FROM flat
 """))
 def q_stream_dedup(spark, sf_dir):
-    """Every file landed twice; the stream keeps one copy of each event."""
-    src = _stream_source(spark, sf_dir, copies=2)
+    """Every file landed twice, the days in no order, several micro-batches;
+    each event is kept once, however old it is."""
+    src = scratch_path(spark, "events-src")
+    ev = load(spark, sf_dir, "events")
+    days = F.pmod(F.xxhash64(F.to_date("ts")), F.lit(8))  # a file holds scattered days
+    lines = ev.select(days.alias("deal"), F.to_json(F.struct(event_payload().alias("payload"))).alias("value"))
+    for _ in range(2):
+        lines.repartition("deal").write.mode("append").partitionBy("deal").text(src)
     out = scratch_path(spark, "dedup-out")
-    S.run_to_parquet(S.dedup_events(S.event_stream(spark, src, USERS.primary_keys)).drop("before", "after"),
-                     out, scratch_path(spark, "dedup-ckpt"))
+    stream = S.event_stream(spark, src, USERS.primary_keys, max_files_per_trigger=5)
+    S.run_to_silver(stream.drop("before", "after"), out, scratch_path(spark, "dedup-ckpt"))
     return spark.read.parquet(out).select("db_name", "table_name", "pk_hash", "op", "ts_ms", "binlog_file",
                                           "binlog_pos")
 

@@ -234,7 +234,7 @@ def _ledger(spark, sf_dir):
 
 SQL_LEDGER = f"""
 WITH b AS (
-  SELECT 'cdc_to_sinks' AS job_name, strftime(date_trunc('hour', ts), '%Y-%m-%d-%H') AS batch_id,
+  SELECT 'apply_changes' AS job_name, strftime(date_trunc('hour', ts), '%Y-%m-%d-%H') AS batch_id,
     date_trunc('hour', ts) AS hour, count(*) AS n_events,
     bool_or(event_type = 'error' AND value > 200.0) AS fails
   FROM events GROUP BY date_trunc('hour', ts)

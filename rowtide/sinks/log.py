@@ -34,16 +34,17 @@ def append_log(flat: DataFrame, root: str) -> None:
 def new_events(flat: DataFrame, root: str) -> DataFrame:
     """K6: events of the batch not yet in the silver table.
 
-    Deduplicates within the batch, then anti-joins on ``(dt, event_key)``
-    against the existing table. ``dt`` is the table's partition column, so
-    dynamic partition pruning limits the scan of the existing table to the
-    batch's dates.
+    Deduplicates within the batch, then anti-joins on the event key against
+    the partitions that the batch touches. Spark prunes partitions for a semi
+    join but not for an anti join, so the existing table first meets the
+    batch's (db, table, date) list, one row per partition and broadcast.
     """
     batch = with_log_columns(flat).dropDuplicates(["event_key"])
     spark = flat.sparkSession
     if not fs.exists(spark, root):
         return batch
-    existing = spark.read.parquet(root).select("dt", "event_key")
+    touched = F.broadcast(batch.select(*LOG_PARTITIONS).distinct())
+    existing = spark.read.parquet(root).join(touched, list(LOG_PARTITIONS), "left_semi").select("dt", "event_key")
     return batch.join(existing, ["dt", "event_key"], "left_anti")
 
 

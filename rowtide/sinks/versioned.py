@@ -2,22 +2,25 @@
 
 Layout::
 
-    root/data/_version=<version>/_bucket=<b>/part-*.parquet
-    root/_manifests/<version:012d>.json   {bucket: data dir, schema, keys}
+    root/data/_version=<version>-<attempt>/_bucket=<b>/part-*.parquet
+    root/_manifests/<version:012d>.json   {bucket: data dir, schema, keys, num_buckets}
 
 Rows live in bucket ``pmod(xxhash64(keys), num_buckets)``. A merge reads
 only the buckets its batch touches, writes those buckets as a new version
 and commits by creating the next manifest (create fails if it exists, so
 concurrent writers cannot both commit the same version). Untouched buckets
 are carried over by reference, so a 15-minute batch rewrites the buckets it
-touches, not the table. A failed or lost job leaves an unreferenced data
-directory and the previous version intact; readers only ever follow
-manifests.
+touches, not the table. Every attempt writes a directory of its own, so a
+writer that loses the commit leaves an unreferenced directory and never
+touches a committed one. The bucket count belongs to the table: it is taken
+from the manifest and a caller that names another one is refused. Columns
+that a merge adds are NULL in the rows written before.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 from rowtide.sinks import fs
 
 BUCKET = "_bucket"
+DEFAULT_BUCKETS = 64
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
@@ -34,11 +38,14 @@ def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
-        self.num_buckets = num_buckets
+        m = self.manifest()
+        if m is not None and num_buckets not in (None, m["num_buckets"]):
+            raise ValueError(f"{self.root} has {m['num_buckets']} buckets, not {num_buckets}")
+        self.num_buckets = m["num_buckets"] if m is not None else num_buckets or DEFAULT_BUCKETS
 
     # -- metadata ----------------------------------------------------------------
     def _manifest_dir(self) -> str:
@@ -48,8 +55,8 @@ class VersionedTable:
         names = [n for n in fs.list_names(self.spark, self._manifest_dir()) if n.endswith(".json")]
         return int(names[-1].split(".")[0]) if names else None
 
-    def manifest(self, version: int | None = None) -> dict | None:
-        v = self.version() if version is None else version
+    def manifest(self) -> dict | None:
+        v = self.version()
         if v is None:
             return None
         return json.loads(fs.read_text(self.spark, f"{self._manifest_dir()}/{v:012d}.json"))
@@ -58,30 +65,28 @@ class VersionedTable:
     def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
         if not dirs:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/{d}" for d in dirs])
+        df = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/{d}" for d in dirs])
         return df.select(*[F.col(f.name) for f in schema.fields])
 
-    def read(self, version: int | None = None) -> DataFrame:
-        m = self.manifest(version)
+    def read(self) -> DataFrame:
+        m = self.manifest()
         if m is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
         return self._read_dirs(list(m["buckets"].values()), T.StructType.fromJson(m["schema"]))
 
-    def read_buckets(self, buckets: Sequence[int], version: int | None = None) -> DataFrame:
-        m = self.manifest(version)
+    def _read_buckets(self, m: dict, buckets: Sequence[int]) -> DataFrame:
         dirs = [m["buckets"][str(b)] for b in buckets if str(b) in m["buckets"]]
         return self._read_dirs(dirs, T.StructType.fromJson(m["schema"]))
 
     # -- writes --------------------------------------------------------------------
-    def _write_version(self, rows: DataFrame, version: int) -> set[int]:
-        out = f"{self.root}/data/_version={version}"
+    def _write_version(self, rows: DataFrame, version: int) -> dict[str, str]:
+        """Write the rows into a fresh directory; bucket → data directory."""
+        folder = f"data/_version={version}-{uuid.uuid4().hex[:12]}"
+        out = f"{self.root}/{folder}"
         fs.for_partitioned_write(rows.withColumn(BUCKET, bucket_of(self.keys, self.num_buckets)), BUCKET) \
-            .write.mode("overwrite").partitionBy(BUCKET).parquet(out)
-        written = set()
-        for name in fs.list_names(self.spark, out):
-            if name.startswith(f"{BUCKET}="):
-                written.add(int(name.split("=", 1)[1]))
-        return written
+            .write.partitionBy(BUCKET).parquet(out)
+        return {name.split("=", 1)[1]: f"{folder}/{name}" for name in fs.list_names(self.spark, out)
+                if name.startswith(f"{BUCKET}=")}
 
     def _commit(self, version: int, buckets: dict[str, str], schema: T.StructType) -> int:
         body = json.dumps({"version": version, "keys": self.keys, "num_buckets": self.num_buckets,
@@ -96,13 +101,13 @@ class VersionedTable:
     def overwrite(self, rows: DataFrame) -> int:
         """Write ``rows`` as a complete new version."""
         v = (self.version() or 0) + 1
-        written = self._write_version(rows, v)
-        return self._commit(v, {str(b): f"data/_version={v}/{BUCKET}={b}" for b in sorted(written)}, rows.schema)
+        return self._commit(v, self._write_version(rows, v), rows.schema)
 
     def merge(self, staged: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """Rewrite the buckets touched by ``staged`` with ``fn(target_part, staged)``.
 
-        The touched-bucket list is at most ``num_buckets`` integers.
+        The touched-bucket list is at most ``num_buckets`` integers. ``fn`` may
+        return columns that the table does not have yet; they are added.
         """
         m = self.manifest()
         if m is None:
@@ -111,28 +116,10 @@ class VersionedTable:
         touched = sorted(
             r[0] for r in staged.select(bucket_of(self.keys, self.num_buckets).alias("b")).distinct().collect()
         )
-        part = self.read_buckets(touched)
-        new_rows = fn(part, staged).select(*[F.col(f.name) for f in schema.fields])
+        rows = fn(self._read_buckets(m, touched), staged)
+        added = [f for f in rows.schema.fields if f.name not in schema.names]
+        schema = T.StructType([*schema.fields, *[T.StructField(f.name, f.dataType, True) for f in added]])
         v = m["version"] + 1
-        written = self._write_version(new_rows, v)
-        buckets = dict(m["buckets"])
-        for b in touched:
-            if b in written:
-                buckets[str(b)] = f"data/_version={v}/{BUCKET}={b}"
-            else:
-                buckets.pop(str(b), None)
+        written = self._write_version(rows.select(*schema.names), v)
+        buckets = {b: d for b, d in m["buckets"].items() if int(b) not in touched} | written
         return self._commit(v, buckets, schema)
-
-    def vacuum(self, keep_versions: int = 10) -> list[str]:
-        """Delete data directories no manifest of the last ``keep_versions`` uses."""
-        names = [n for n in fs.list_names(self.spark, self._manifest_dir()) if n.endswith(".json")]
-        live = set()
-        for n in names[-keep_versions:]:
-            m = json.loads(fs.read_text(self.spark, f"{self._manifest_dir()}/{n}"))
-            live.update(d.split("/")[1] for d in m["buckets"].values())
-        removed = []
-        for d in fs.list_names(self.spark, f"{self.root}/data"):
-            if d.startswith("_version=") and d not in live and int(d.split("=")[1]) <= int(names[-1].split(".")[0]):
-                fs.delete(self.spark, f"{self.root}/data/{d}")
-                removed.append(d)
-        return removed

@@ -10,13 +10,14 @@ bare form with the payload fields at top level.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.schemas import CORRUPT_COLUMN, PARSE_SCHEMA, PAYLOAD
 
-# Fixed value: boundary between two glued top-level objects.
-GLUED_BOUNDARY = r'(?<=\})\s*(?=\{"(?:schema|payload|before|after|source|op|ts_ms)")'
+# Boundary between two glued top-level objects: a closing brace, then an object
+# with any first key. Inside a JSON string the key's quote would be escaped.
+GLUED_BOUNDARY = r'(?<=\})\s*(?=\{\s*"[^"\\]*"\s*:)'
 
 
 def read_change_lines(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
@@ -76,7 +77,3 @@ def parse_change_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def read_change_events(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
     """Permissive typed scan of envelopes; keeps raw line and file."""
     return parse_change_lines(split_glued(read_change_lines(spark, path, recursive)))
-
-
-def payload_field(name: str) -> Column:
-    return F.col("payload")[name]

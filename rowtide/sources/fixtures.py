@@ -152,7 +152,7 @@ def dirty_event_lines(events: DataFrame, keep=()) -> DataFrame:
 
 
 # Fixed values of the ledger fixture: job name, failure rule, timings.
-LEDGER_JOB = "cdc_to_sinks"
+LEDGER_JOB = "apply_changes"
 FAIL_VALUE = 200.0
 
 

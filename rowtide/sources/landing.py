@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.time import ms_to_ntz
 from rowtide.sinks import fs
-from rowtide.sources.changelog import parse_change_lines
+from rowtide.sources.changelog import parse_change_lines, split_glued
 
 PARTITION_COLUMNS = ("db_name", "table_name", "dt", "hour")
 LANDED_SCHEMA = "value string, db_name string, table_name string, dt date, hour int"
@@ -37,10 +37,10 @@ def routing_columns(parsed: DataFrame) -> DataFrame:
 def land_lines(lines: DataFrame, root: str, errors_root: str, mode: str = "append") -> None:
     """Write raw lines partitioned by db/table/dt/hour; the rest to errors.
 
-    A plain partitioned write: each task writes its own files per partition
-    value, no shuffle.
+    Records glued on one line are split first, so each lands in its own
+    table. Rows are clustered by partition before the write.
     """
-    r = routing_columns(parse_change_lines(lines))
+    r = routing_columns(parse_change_lines(split_glued(lines)))
     routable = (
         F.col("_corrupt_record").isNull() & F.col("db_name").isNotNull() & F.col("table_name").isNotNull()
         & F.col("dt").isNotNull()

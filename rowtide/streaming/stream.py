@@ -2,11 +2,12 @@
 
 * T1/T2/S5: a file stream of raw lines; each micro-batch goes through
   ``process_batch`` in ``foreachBatch``. The checkpoint records which
-  files were read (incremental "bookmark"); the epoch id is the ledger's
-  batch id, so a replayed epoch after a crash is skipped or re-applied
-  idempotently by the ordered merges.
-* T3: cross-batch duplicate events dropped with
-  ``dropDuplicatesWithinWatermark``.
+  files were read (incremental "bookmark"); checkpoint and epoch make the
+  ledger's batch id, so a replayed epoch is skipped or re-applied
+  idempotently, and another checkpoint's epochs are batches of their own. A
+  failed sink fails the epoch, so the query replays it when started again.
+* T3: replayed events dropped against the silver table by event key, however
+  old they are (a watermark would drop late first-time events too).
 * T5: 5-minute tumbling counts with a watermark, append mode.
 
 Checkpoints live under the session's ``spark.checkpoint.dir``.
@@ -14,12 +15,15 @@ Checkpoints live under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.plans.batch_job import JobConfig, process_batch
 from rowtide.sources.changelog import parse_change_lines, split_glued
 from rowtide.operators.envelope import flatten_envelope
+from rowtide.sinks.log import append_silver
 
 
 def change_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,9 +38,10 @@ def run_to_tables(spark: SparkSession, source: str, cfg: JobConfig, checkpoint:
                   processing_time: str | None = None):
     """Apply every new file to the sink tables; returns the query handle."""
     lines = change_line_stream(spark, source, max_files_per_trigger)
+    stream_id = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        process_batch(spark, batch, f"epoch-{epoch_id}", cfg)
+        process_batch(spark, batch, f"{stream_id}-epoch-{epoch_id}", cfg, raise_on_error=True)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")
@@ -50,10 +55,12 @@ def event_stream(spark: SparkSession, source: str, pk_columns, max_files_per_tri
     return flat.withColumn("event_time", F.timestamp_millis("ts_ms"))
 
 
-def dedup_events(flat_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop replayed events; state is kept only within the watermark."""
-    keys = ["db_name", "table_name", "pk_hash", "op", "ts_ms", "binlog_file", "binlog_pos"]
-    return flat_stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(keys)
+def run_to_silver(flat_stream: DataFrame, root: str, checkpoint: str):
+    """Drain the stream into the silver table, each event once; the query handle."""
+    q = (flat_stream.writeStream.foreachBatch(lambda batch, _: append_silver(batch.drop("event_time"), root))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
 
 
 def windowed_stream_counts(flat_stream: DataFrame, every: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:

@@ -1,14 +1,17 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, envelope
 from rowtide.contracts import REGISTRY, TableContract
 from rowtide.operators import ledger as L
 from rowtide.plans.batch_job import JobConfig, process_batch, read_current
-from rowtide.plans.common import USERS, event_lines
+from rowtide.plans.common import USERS, event_lines, flat_events
 from rowtide.session import scratch_path
 from rowtide.sinks import jdbc
+from rowtide.sinks.log import append_silver, new_events
 from rowtide.sinks.search import search_actions, write_bulk
 from rowtide.sinks.versioned import VersionedTable
 from rowtide.sources import landing
@@ -32,8 +35,38 @@ def test_versioned_table_rewrites_only_touched_buckets(spark):
     assert len(changed) == 1
     got = {r.k: r.v for r in t.read().collect()}
     assert len(got) == 1000 and got[5] == -1 and got[6] == 12
-    assert t.read(version=1).filter("k = 5").first().v == 10  # older version still readable
-    assert t.vacuum(keep_versions=1) == []  # v=1 still backs 15 untouched buckets
+
+
+def test_versioned_table_keeps_its_bucket_count_and_refuses_another(spark):
+    root = scratch_path(spark, "vt-buckets")
+    base = spark.range(0, 500).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    VersionedTable(spark, root, ["k"], num_buckets=4).overwrite(base)
+    with pytest.raises(ValueError):
+        VersionedTable(spark, root, ["k"], num_buckets=64)
+    t = VersionedTable(spark, root, ["k"])
+    t.merge(spark.createDataFrame([(5, -1)], "k long, v long"), lambda target, st: target.join(st.select("k"), "k", "left_anti").unionByName(st))
+    assert t.read().count() == 500 and t.read().filter("k = 5").first().v == -1
+
+
+def test_losing_writer_leaves_the_committed_version_intact(spark):
+    root = scratch_path(spark, "vt-race")
+    base = spark.range(0, 300).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    winner, loser = (VersionedTable(spark, root, ["k"], num_buckets=4) for _ in range(2))
+    winner.overwrite(base)
+    written = loser._write_version(base.withColumn("v", F.lit(-1)), 1)  # both picked version 1
+    with pytest.raises(Exception):
+        loser._commit(1, written, base.schema)
+    assert winner.read().agg(F.sum("v")).first()[0] == sum(range(300))
+
+
+def test_silver_append_reads_only_touched_partitions(spark):
+    root = scratch_path(spark, "silver-prune")
+    flat = flat_events(spark, SF_SMALL).drop("before", "after")
+    append_silver(flat, root)
+    day = flat.filter(F.to_date(F.timestamp_millis("ts_ms")) == "2024-01-10")
+    plan = new_events(day, root)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert new_events(day, root).count() == 0
 
 
 def test_search_actions_and_bulk_lines(spark):
