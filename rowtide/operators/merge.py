@@ -5,10 +5,9 @@ the sink's job. Keys are the contract's primary-key columns and are not
 NULL (rows with NULL keys are quarantined upstream), so plain equi-joins
 on the key columns are exact.
 
-Scale: the target is the big side. When the staged batch (or its key set)
-passes a row-bounded check it is broadcast and every merge below is
-map-side over the target: no shuffle of the target at all. Beyond the
-bound the same semantics run as shuffle joins on the key.
+Scale: every merge is one equi-join on the key that reads the target once;
+adaptive execution broadcasts the batch when it turns out small. Building a
+merge runs no Spark job.
 """
 
 from __future__ import annotations
@@ -18,24 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.sizing import is_broadcastable
 from rowtide.functions.time import ms_to_ntz
 
 ORDER_COLUMNS = ("_ts_ms", "_file_seq", "_pos")
 HIT = "_hit"
 
 
-def _side(df: DataFrame, small: bool | None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` if proven small; ``small`` given = already proven.
-
-    Callers that checked a superset (the whole batch) pass the answer down,
-    so a merge chain checks once per batch, not once per join.
-    """
-    if small is None:
-        small = is_broadcastable(df)
-    return (F.broadcast(df) if small else df), small
-
-
 def _project_like(df: DataFrame, target_cols: Sequence[str], fill: dict[str, Column] | None = None) -> DataFrame:
     """``df`` with exactly ``target_cols``; missing columns filled or NULL."""
     fill = fill or {}
@@ -62,18 +49,16 @@ def extend_columns(target: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 # J1 -------------------------------------------------------------------------
-def merge_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str],
-                  small: bool | None = None) -> DataFrame:
+def merge_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete target rows whose key is staged, insert all staged rows."""
-    keyset, _ = _side(staged.select(*keys), small)
-    kept = target.join(keyset, list(keys), "left_anti")
+    kept = target.join(staged.select(*keys), list(keys), "left_anti")
     return kept.unionByName(_typed_like(_project_like(staged, target.columns), target))
 
 
 # J2 -------------------------------------------------------------------------
 def merge_update(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str] | None = None,
-                 set_null: Sequence[str] = (), small: bool | None = None) -> DataFrame:
+                 set_null: Sequence[str] = ()) -> DataFrame:
     """Insert new keys; on key match update only ``update_columns``.
 
     Other target columns keep their values; ``set_null`` columns (e.g.
@@ -81,46 +66,35 @@ def merge_update(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     upd = [c for c in (update_columns or [c for c in staged.columns if c not in keys])]
-    s = staged.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in upd], F.lit(True).alias(HIT))
-    s_side, small = _side(s, small)
-    if small:
-        joined = target.join(s_side, keys, "left")
-        # keys already in the target: a subset of the staged keys, so small
-        found = target.join(F.broadcast(staged.select(*keys)), keys, "left_semi").select(*keys)
-        inserts = staged.join(F.broadcast(found), keys, "left_anti")
-    else:
-        joined = target.join(s, keys, "full_outer")
-        inserts = None
-    hit = F.coalesce(F.col(HIT), F.lit(False))
+    other = [c for c in staged.columns if c not in keys and c not in upd and c in target.columns]
+    s = staged.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in upd + other], F.lit(True).alias(HIT))
+    joined = target.withColumn("_old", F.lit(True)).join(s, keys, "full_outer")
+    hit, new = F.col(HIT).isNotNull(), F.col("_old").isNull()
     out = []
     for c in target.columns:
         if c in upd:
             out.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
         elif c in set_null:
             out.append(F.when(hit, F.lit(None)).otherwise(F.col(c)).alias(c))
+        elif c in other:
+            out.append(F.when(new, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    merged = _typed_like(joined.select(*out), target)
-    if inserts is None:
-        return merged
-    return merged.unionByName(_typed_like(_project_like(inserts, target.columns), target))
+    return _typed_like(joined.select(*out), target)
 
 
 # J5 -------------------------------------------------------------------------
-def delete_physical(target: DataFrame, deletes: DataFrame, keys: Sequence[str],
-                    small: bool | None = None) -> DataFrame:
-    keyset, _ = _side(deletes.select(*keys), small)
-    return target.join(keyset, list(keys), "left_anti")
+def delete_physical(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return target.join(deletes.select(*keys), list(keys), "left_anti")
 
 
 # J6 -------------------------------------------------------------------------
 def delete_soft(target: DataFrame, deletes: DataFrame, keys: Sequence[str],
-                deleted_at: Column, column: str = "deleted_at", small: bool | None = None) -> DataFrame:
+                deleted_at: Column, column: str = "deleted_at") -> DataFrame:
     """Set ``deleted_at`` on key match; ``deleted_at`` is evaluated on ``deletes``."""
     keys = list(keys)
     d = deletes.select(*keys, deleted_at.alias("_del_at")).dropDuplicates(keys)
-    d_side, _ = _side(d, small)
-    joined = target.join(d_side, keys, "left")
+    joined = target.join(d, keys, "left")
     base = F.col(column) if column in target.columns else F.lit(None)
     cols = [c for c in target.columns if c != column]
     return joined.select(*cols, F.coalesce(F.col("_del_at"), base).cast("timestamp_ntz").alias(column))
@@ -136,30 +110,22 @@ def _order(prefix: str = "") -> Column:
     return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in ORDER_COLUMNS])
 
 
-def newer_than_target(target: DataFrame, staged: DataFrame, keys: Sequence[str],
-                      small: bool | None = None) -> DataFrame:
+def newer_than_target(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows whose order key beats the target's (or whose key is new).
 
     Late or replayed events lose, so the result does not depend on how the
     log was cut into batches or in which order batches arrive.
     """
     keys = list(keys)
-    t_order = target.select(*keys, *[F.col(c).alias(f"_t{c}") for c in ORDER_COLUMNS])
-    keyset, small = _side(staged.select(*keys), small)
-    if small:
-        # only the touched target keys take part: map-side semi join, and
-        # the result is at most one row per staged key
-        t_order = F.broadcast(t_order.join(keyset, keys, "left_semi"))
+    t_order = target.select(*keys, _order().alias("_t"))
     joined = staged.join(t_order, keys, "left")
-    newer = F.col("_t_ts_ms").isNull() & F.col("_t_pos").isNull() & F.col("_t_file_seq").isNull()
-    newer = newer | (_order() > _order("_t"))
-    return joined.filter(newer).select(*staged.columns)
+    return joined.filter(F.col("_t").isNull() | (_order() > F.col("_t"))).select(*staged.columns)
 
 
 # J8 -------------------------------------------------------------------------
 def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
                   soft_delete: bool = False, ordered: bool = True,
-                  small: bool | None = None, column_wise: bool = False) -> DataFrame:
+                  column_wise: bool = False) -> DataFrame:
     """Apply typed latest-per-key changes (``_op`` + order columns) to a state.
 
     The state keeps one row per key including tombstones (``_op = 'd'``)
@@ -171,35 +137,38 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
 
     ``column_wise`` updates only the columns of ``changes`` (J2), so columns
     that others keep in the state survive. Columns that the state lacks are
-    added. The size check runs once, on ``changes``; every join below works on
-    a subset of it.
+    added. One full outer join on the key: the state is read once.
     """
     keys = list(keys)
     state = extend_columns(state, changes)
-    if small is None:
-        small = is_broadcastable(changes)  # widest side broadcast below is a subset of it
-    accepted = newer_than_target(state, changes, keys, small=small) if ordered else changes
-    skip = set(keys) | set(ORDER_COLUMNS) | {"_op", "deleted_at"}
-    attrs = [c for c in state.columns if c not in skip and c in changes.columns]
-    is_del = F.col("_op") == "d"
-    if soft_delete:
-        dkeys = accepted.filter(is_del).select(*keys)
-        dside = F.broadcast(dkeys) if small else dkeys
-        prev = state.join(dside, keys, "left_semi").select(*keys, *[F.col(a).alias(f"_prev_{a}") for a in attrs])
-        prev = F.broadcast(prev) if small else prev
-        accepted = accepted.join(prev, keys, "left").select(
-            *keys,
-            *[F.when(is_del, F.coalesce(F.col(a), F.col(f"_prev_{a}"))).otherwise(F.col(a)).alias(a) for a in attrs],
-            "_op", *ORDER_COLUMNS,
-            F.when(is_del, ms_to_ntz("_ts_ms")).alias("deleted_at"),
-        )
-    else:
-        accepted = accepted.select(
-            *keys, *[F.when(~is_del, F.col(a)).alias(a) for a in attrs], "_op", *ORDER_COLUMNS,
-        )
-    if column_wise:
-        return merge_update(state, accepted, keys, small=small)
-    return merge_replace(state, accepted, keys, small=small)
+    rest = [c for c in state.columns if c not in keys]
+    types = {f.name: f.dataType for f in state.schema.fields}
+    own = state.select(*keys, F.struct(*rest).alias("_s"))
+    new = changes.select(*keys, F.struct(*[c for c in changes.columns if c not in keys]).alias("_c"))
+    joined = own.join(new, keys, "full_outer")
+    s, c = F.col("_s"), F.col("_c")
+
+    def order(row: Column) -> Column:
+        return F.struct(*[row[o] for o in ORDER_COLUMNS])
+
+    accept = c.isNotNull()
+    if ordered:
+        accept = accept & (s.isNull() | (order(c) > order(s)))
+    deleted = c["_op"] == "d"
+    out = []
+    for name in rest:
+        if name == "deleted_at":
+            value = F.when(deleted, ms_to_ntz(c["_ts_ms"])) if soft_delete else F.lit(None)
+        elif name not in changes.columns:
+            value = s[name] if column_wise else F.lit(None)
+        elif name == "_op" or name in ORDER_COLUMNS:
+            value = c[name]
+        elif soft_delete:
+            value = F.when(deleted, F.coalesce(c[name].cast(types[name]), s[name])).otherwise(c[name])
+        else:
+            value = F.when(~deleted, c[name])
+        out.append(F.when(accept, value.cast(types[name])).otherwise(s[name]).alias(name))
+    return joined.select(*keys, *out).select(*state.columns)
 
 
 def visible(state: DataFrame, soft_delete: bool = False) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from rowtide.contracts import TableContract
 from rowtide.functions.casting import cast_failed
-from rowtide.functions.sizing import is_broadcastable
 from rowtide.schemas import CORRUPT_COLUMN, VALID_OPS
 
 VIOLATIONS = "_violations"
@@ -48,12 +47,10 @@ def in_range(column: str, low=None, high=None) -> Rule:
 def with_fk_flag(df: DataFrame, parent: DataFrame, column: str, parent_column: str, flag: str) -> DataFrame:
     """Add boolean ``flag``: the foreign key has a parent row.
 
-    The parent key set is deduplicated (at most one row per key) and
-    broadcast when it passes the row bound; otherwise it is a shuffle join.
+    The parent key set is deduplicated; adaptive execution broadcasts it when
+    it is small and splits a hot key of ``df`` otherwise.
     """
     keys = parent.select(F.col(parent_column).alias(f"_fk_{flag}")).distinct().withColumn(flag, F.lit(True))
-    if is_broadcastable(keys):
-        keys = F.broadcast(keys)
     out = df.join(keys, df[column] == keys[f"_fk_{flag}"], "left")
     return out.drop(f"_fk_{flag}").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 

@@ -13,17 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.keys import change_hash, change_hash_strict
-from rowtide.functions.sizing import is_broadcastable
 from rowtide.functions.time import ms_to_ntz
 from rowtide.operators.sequence import group_columns, segmented_last_seen, segmented_shift, with_segment
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 
-def _bcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
 def _hash(cols: Sequence, strict: bool) -> Column:
     return change_hash_strict(cols) if strict else change_hash(cols)
 
@@ -48,7 +43,7 @@ def _staged(staged: DataFrame, keys, attrs, effective: Column, strict: bool) ->
 
 
 def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
+               effective: Column, strict: bool = True) -> DataFrame:
     """Current rows after closing those whose attributes changed.
 
     Returns every current row of ``dim``; changed ones get
@@ -56,9 +51,7 @@ def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Se
     """
     keys = list(keys)
     st = _staged(staged, keys, attrs, effective, strict)
-    small = is_broadcastable(staged) if small is None else small
-    s = _bcast(st, small)
-    cur = dim.filter(F.col("is_current")).join(s, keys, "left")
+    cur = dim.filter(F.col("is_current")).join(st, keys, "left")
     changed = F.col("_h").isNotNull() & (F.col("_h") != _hash(attrs, strict))
     return cur.select(
         *[c for c in dim.columns if c not in ("valid_to", "is_current")],
@@ -68,16 +61,14 @@ def scd2_close(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Se
 
 
 def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-                effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
+                effective: Column, strict: bool = True) -> DataFrame:
     """New open versions for new keys and for keys whose attributes changed."""
     keys = list(keys)
     st = _staged(staged, keys, attrs, effective, strict)
-    small = is_broadcastable(staged) if small is None else small
-    s = _bcast(st.select(*keys, "_h"), small)
     cur = dim.filter(F.col("is_current")).select(*keys, _hash(attrs, strict).alias("_ch"))
     # current rows whose attributes the batch repeats: at most one per staged key
-    unchanged = cur.join(s, keys).filter(F.col("_ch") == F.col("_h")).select(*keys)
-    return st.join(_bcast(unchanged, small), keys, "left_anti").select(
+    unchanged = cur.join(st.select(*keys, "_h"), keys).filter(F.col("_ch") == F.col("_h")).select(*keys)
+    return st.join(unchanged, keys, "left_anti").select(
         *keys,
         *[F.col(f"_s_{a}").alias(a) for a in attrs],
         F.col("_eff").alias("valid_from"),
@@ -87,22 +78,43 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, strict: bool = True, small: bool | None = None) -> DataFrame:
-    """J3 + J4: the full dimension after applying a batch of upserts."""
-    small = is_broadcastable(staged) if small is None else small
-    history = dim.filter(~F.col("is_current"))
-    return (
-        history.unionByName(scd2_close(dim, staged, keys, attrs, effective, strict, small))
-        .unionByName(scd2_insert(dim, staged, keys, attrs, effective, strict, small))
-    )
+               effective: Column, deleted: Column | None = None) -> DataFrame:
+    """J3 + J4 (+ J7): the full dimension after applying a batch.
 
-
-def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effective: Column,
-                small: bool | None = None) -> DataFrame:
+    Current rows and batch meet in one full outer join; each key gives its
+    current row, closed if its attributes changed (NULL-safe, column by
+    column) or ``deleted`` holds, and a new open version if they changed or
+    the key is new. Closed versions pass through.
+    """
+    keys = list(keys)
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    batch = staged.select(*keys, F.struct(*[F.col(a).alias(f"a_{a}") for a in attrs],
+                                          effective.cast("timestamp_ntz").alias("eff"), gone.alias("gone")).alias("_s"))
+    open_ = dim.filter(F.col("is_current")).select(*keys, F.struct(*dim.columns).alias("_d"))
+    d, s = F.col("_d"), F.col("_s")
+    same = F.lit(True)
+    for a in attrs:
+        same = same & d[a].eqNullSafe(s[f"a_{a}"])
+    ends = s.isNotNull() & (s["gone"] | ~same)
+    begins = s.isNotNull() & ~s["gone"] & (d.isNull() | ~same)
+    types = {f.name: f.dataType for f in dim.schema.fields}
+
+    def version(values: dict) -> Column:
+        return F.struct(*[values.get(c, F.lit(None)).cast(types[c]).alias(c) for c in dim.columns])
+
+    old = version({c: d[c] for c in dim.columns} | {
+        "valid_to": F.when(ends, s["eff"]).otherwise(d["valid_to"]), "is_current": ~ends})
+    new = version({k: F.col(k) for k in keys} | {a: s[f"a_{a}"] for a in attrs} | {
+        "valid_from": s["eff"], "is_current": F.lit(True)})
+    rows = F.filter(F.array(F.when(d.isNotNull(), old), F.when(begins, new)), lambda x: x.isNotNull())
+    after = open_.join(batch, keys, "full_outer").select(F.inline(rows))
+    return dim.filter(~F.col("is_current")).unionByName(after)
+
+
+def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effective: Column) -> DataFrame:
     """Close the current version of deleted keys, insert nothing."""
     keys = list(keys)
     d = deletes.select(*keys, effective.cast("timestamp_ntz").alias("_eff")).dropDuplicates(keys)
-    d = _bcast(d, is_broadcastable(d) if small is None else small)
     cur = dim.filter(F.col("is_current")).join(d, keys, "left")
     hit = F.col("_eff").isNotNull()
     closed = cur.select(

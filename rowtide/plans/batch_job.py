@@ -11,8 +11,8 @@ written last, so a crash re-applies the batch, and the ordered merges, the
 event keys and the per-batch quarantine folder make that a no-op.
 
 Scale: the classified batch is persisted once; per table the typed
-changes are persisted once and their size checked once; every merge reads
-only the target buckets the batch touches. Driver-side loops run over
+changes are persisted once; every merge reads only the target buckets the
+batch touches. Driver-side loops run over
 tables and sinks (a handful), never over rows.
 """
 
@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.contracts import REGISTRY, SINKS, TableContract, contract_table
-from rowtide.functions.sizing import is_broadcastable
 from rowtide.functions.time import ms_to_ntz
 from rowtide.operators import ledger as L
 from rowtide.operators.envelope import flatten_envelope, latest_typed_per_key, typed_changes
 from rowtide.operators.merge import apply_changes, extend_columns
 from rowtide.operators.quality import classify
-from rowtide.operators.scd2 import open_versions, scd2_delete, scd2_in_order, scd2_merge
+from rowtide.operators.scd2 import open_versions, scd2_in_order, scd2_merge
 from rowtide.schemas import LEDGER, WRITE_RESULT
 from rowtide.sinks import fs
 from rowtide.sinks.log import append_silver
@@ -105,7 +104,7 @@ def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Dat
     return t
 
 
-def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, small: bool, batch_id: str) -> None:
+def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, batch_id: str) -> None:
     keys = list(c.primary_keys)
     if sink in cfg.extra_sinks:
         cfg.extra_sinks[sink](spark, c, typed, batch_id)
@@ -124,9 +123,7 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
         def fn(target, staged):
             target = extend_columns(target, staged.select(*keys, *c.attribute_columns))
             rows = scd2_in_order(target, staged, keys, eff).filter(~F.col("_late")).drop("_late")
-            ups, dels = rows.filter(F.col("_op") != "d"), rows.filter(F.col("_op") == "d")
-            merged = scd2_merge(target, ups, keys, list(c.attribute_columns), eff, small=small)
-            return scd2_delete(merged, dels, keys, eff, small=small)
+            return scd2_merge(target, rows, keys, list(c.attribute_columns), eff, deleted=F.col("_op") == "d")
 
         t.merge(typed, fn)
         return
@@ -134,7 +131,7 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
     # the order guard; the row store ignores scd2 and updates column by column
     t = state_table(spark, cfg, sink, c, typed, c.soft_delete)
     t.merge(typed, lambda target, staged: apply_changes(
-        target, staged, keys, soft_delete=c.soft_delete, small=small, column_wise=sink == "rowstore"))
+        target, staged, keys, soft_delete=c.soft_delete, column_wise=sink == "rowstore"))
 
 
 def _conflict_reason(c: TableContract):
@@ -189,8 +186,7 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
                     F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
                     F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
                 ).first()  # one row
-                small = is_broadcastable(typed)  # every broadcast side of the merges is a part of it
-                jobs = [(sink, pool.submit(_apply_sink, spark, cfg, sink, c, typed, small, batch_id))
+                jobs = [(sink, pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id))
                         for sink in c.sinks if sink in cfg.enabled_sinks or sink in cfg.extra_sinks]
                 for sink, job in jobs:
                     try:

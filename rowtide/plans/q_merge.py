@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.sizing import broadcast_if_bounded
 from rowtide.operators.envelope import latest_change_per_key, typed_changes
 from rowtide.operators.merge import (
     apply_changes,
@@ -198,10 +197,9 @@ def q_dim_enrich(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nr = nation.join(broadcast_if_bounded(region)[0], nation.n_regionkey == region.r_regionkey, "left")
+    nr = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    dim = supp.join(broadcast_if_bounded(nr)[0], supp.s_nationkey == nr.n_nationkey, "left").select(
+    dim = supp.join(nr, supp.s_nationkey == nr.n_nationkey, "left").select(
         "s_suppkey", "s_name", "n_name", "r_name")
-    dim_side, _ = broadcast_if_bounded(dim)
-    return li.join(dim_side, li.l_suppkey == dim.s_suppkey, "left").select(
+    return li.join(dim, li.l_suppkey == dim.s_suppkey, "left").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "s_name", "n_name", "r_name")

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from rowtide.operators.envelope import latest_change_per_key, typed_changes
 from rowtide.operators.merge import apply_changes, delete_physical, delete_soft, merge_replace, merge_update, visible
-from rowtide.operators.scd2 import open_versions, scd2_history, scd2_merge
+from rowtide.operators.scd2 import open_versions, scd2_history, scd2_in_order, scd2_merge
 from rowtide.plans.common import USERS, flat_events
+from rowtide.session import scratch_path
 
 
 def _state_after(batches, soft=False):
@@ -47,8 +48,6 @@ def test_merge_replace_update_and_deletes(spark):
     assert _rows(merge_replace(t, s, ["k"]).collect()) == [(1, "a", 10), (2, "B", 21), (3, "c", 30), (4, "D", 40)]
     upd = merge_update(t, s.select("k", "s"), ["k"], ["s"]).collect()
     assert _rows(upd) == [(1, "a", 10), (2, "B", 20), (3, "c", 30), (4, "D", None)]
-    for small in (True, False):  # broadcast and shuffle plans agree
-        assert _rows(merge_update(t, s.select("k", "s"), ["k"], ["s"], small=small).collect()) == _rows(upd)
     d = spark.createDataFrame([(3,)], "k int")
     assert [r.k for r in delete_physical(t, d, ["k"]).orderBy("k").collect()] == [1, 2]
     soft = delete_soft(t, d, ["k"], F.lit("2024-01-01").cast("timestamp_ntz")).orderBy("k").collect()
@@ -78,3 +77,28 @@ def test_scd2_merge_closes_changed_and_inserts_new(spark):
     assert cur == [(1, "a"), (2, "B"), (3, "c")]
     closed = [(r.k, r.t) for r in out if not r.is_current]
     assert closed == [(2, "b")]
+
+
+def test_one_read_of_the_target_and_one_join(spark):
+    t = spark.createDataFrame([(1, "a", "c", 5, 1, 1)], "k int, v string, _op string, _ts_ms long, _file_seq long, _pos long")
+    state = spark.read.parquet(_written(spark, t))
+    plan = apply_changes(state, t, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Join ") == 1
+
+
+def _written(spark, df):
+    path = scratch_path(spark, "merge-target")
+    df.write.parquet(path)
+    return path
+
+
+def test_late_older_events_and_nulls_in_scd2(spark):
+    schema = "k int, t string, ts string"
+    dim = open_versions(spark.createDataFrame([(1, "gold"), (2, None)], "k int, t string"), F.lit("2024-03-01"))
+    batch = spark.createDataFrame([(1, "bronze", "2024-02-01"), (2, "", "2024-04-01")], schema)
+    eff = F.col("ts").cast("timestamp_ntz")
+    marked = scd2_in_order(dim, batch, ["k"], eff)
+    assert {r.k: r._late for r in marked.collect()} == {1: True, 2: False}
+    out = scd2_merge(dim, marked.filter("not _late"), ["k"], ["t"], eff).collect()
+    assert {(r.k, r.t, r.is_current) for r in out} == {(1, "gold", True), (2, None, False), (2, "", True)}
+    assert all(r.valid_to is None or r.valid_to > r.valid_from for r in out)
