@@ -30,7 +30,8 @@ HEADLINE = [
     "dq_violations",         # Q1 with FK checks
     "quarantine_split",      # Q4
     "lag_p95",               # A6
-    "batch_job",             # full run: parse → dedup → route → sinks + ledger
+    "batch_job",             # full run: parse → dedup → route → sinks + ledger, read back
+    "stream_current_state",  # T1: the same through a stream in micro-batches
 ]
 
 
