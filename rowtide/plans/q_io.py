@@ -86,6 +86,17 @@ def q_retention_plan(spark, sf_dir):
     return landing.retention_plan(parts, F.lit(RETENTION_AS_OF))
 
 
+@query("retention_applied", f"""
+SELECT 'app' AS db_name, 'users' AS table_name, CAST(ts AS DATE) AS dt, count(*) AS n_events FROM events
+WHERE CAST(ts AS DATE) >= DATE '{RETENTION_AS_OF}' - INTERVAL 90 DAY GROUP BY 3
+""")
+def q_retention_applied(spark, sf_dir):
+    """What is left in the landing folder after old dates were deleted."""
+    root = _landed(spark, sf_dir)
+    landing.apply_retention(spark, root, F.lit(RETENTION_AS_OF))
+    return landing.read_landed(spark, root).groupBy("db_name", "table_name", "dt").agg(F.count("*").alias("n_events"))
+
+
 def _parts(spark, sf_dir):
     p = load(spark, sf_dir, "part")
     return p.select(*[F.col(c).cast(PART.type_of(c)).alias(c) for c in PART.columns])

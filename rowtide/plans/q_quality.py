@@ -192,6 +192,17 @@ def q_five_minute_sums(spark, sf_dir):
     return M.windowed_counts(flat_events(spark, sf_dir), "5 minutes", ["op"])
 
 
+@query("five_minute_sums_by_sink", with_flat("""
+SELECT time_bucket(INTERVAL '5 minutes', make_timestamp(ts_ms * 1000)) AS window_start, s.sink, op,
+  count(*) AS n_events, CAST(sum(ts_ms - source_ts_ms) AS BIGINT) AS lag_ms_sum
+FROM flat, (VALUES ('warehouse'), ('rowstore')) s(sink) GROUP BY 1, 2, 3
+"""))
+def q_five_minute_sums_by_sink(spark, sf_dir):
+    """A5 over the fan-out: the series that each sink's alarm watches."""
+    out = M.fan_out(flat_events(spark, sf_dir), contract_table(spark))
+    return M.windowed_counts(out, "5 minutes", ["sink", "op"])
+
+
 SQL_HOURLY_LAG = """
 hourly AS (
   SELECT db_name, table_name, date_trunc('hour', make_timestamp(ts_ms * 1000)) AS period,

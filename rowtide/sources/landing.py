@@ -132,3 +132,16 @@ def retention_plan(partitions: DataFrame, as_of: Column, keep_days: int = 90) ->
     """Partitions (db, table, dt) older than ``keep_days`` before ``as_of``."""
     cutoff = F.date_sub(as_of.cast("date"), keep_days)
     return partitions.filter(F.col("dt") < cutoff).select("db_name", "table_name", "dt").distinct()
+
+
+def apply_retention(spark: SparkSession, root: str, as_of: Column, keep_days: int = 90) -> int:
+    """Delete the landed (db, table, date) folders past their retention.
+
+    Returns how many. The plan has one row per folder to delete; it is walked
+    one by one, so the driver holds no list of what stays.
+    """
+    plan = retention_plan(touched_partitions(landed_files(spark, root)), as_of, keep_days)
+    gone = 0
+    for r in plan.toLocalIterator():
+        gone += fs.delete(spark, f"{root}/db_name={r.db_name}/table_name={r.table_name}/dt={r.dt}")
+    return gone
