@@ -23,14 +23,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/rowtide-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def settle(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

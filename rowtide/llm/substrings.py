@@ -151,11 +151,6 @@ def _listed(block: tuple[int, int]):
     return pa.RecordBatch.from_pydict({"block": [block[0]], "n": [block[1]]})
 
 
-def _usable(data):
-    """Owners of the texts, and which texts take part (those with an owner)."""
-    return data["owners"], data["known"]
-
-
 def _shared(blocks: DataFrame, folder: str, length: int, bits: int) -> DataFrame:
     """(block, bucket, marks): a bit for each distinct trigger of the block in
     the bucket, set if another block has it too."""
@@ -166,7 +161,7 @@ def _shared(blocks: DataFrame, folder: str, length: int, bits: int) -> DataFrame
         for batch in batches:
             for number in batch["block"]:
                 data = _read_block(folder, number)
-                owners, known = _usable(data)
+                owners, known = data["owners"], data["known"]  # texts without an owner take no part
                 _, _, hashes, text = _triggers(data["body"], data["offsets"], length)
                 take = known[text]
                 value, _, _ = _told(hashes[take], owners[text[take]], bits)
@@ -197,7 +192,7 @@ def _open_runs(data, rows, length: int, bits: int):
     """The trigger runs of a block that may repeat, given its marks."""
     import numpy as np
 
-    owners, known = _usable(data)
+    owners, known = data["owners"], data["known"]
     starts, ends, hashes, text = _triggers(data["body"], data["offsets"], length)
     take = known[text]
     starts, ends, hashes, text = starts[take], ends[take], hashes[take], text[take]
@@ -270,22 +265,29 @@ def _contexts(marked: DataFrame, folder: str, length: int, bits: int) -> DataFra
     return settle(marked.repartition(_parts(marked), "block").mapInPandas(cut, _CONTEXT), "contexts")
 
 
+def _spread_out(starts, sizes):
+    """starts[0], starts[0] + 1, ... (sizes[0] of them), starts[1], ..."""
+    import numpy as np
+
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _first_owners(bodies: list[bytes], owners, length: int):
     """For each string of the bodies, one after the other, the smallest owner
     of an equal string. Strings are ordered as suffixes cut at ``length``."""
     import numpy as np
 
     sizes = np.array([len(b) - length + 1 for b in bodies])
-    strings = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(b, np.uint8), length) for b in bodies])
+    text = np.frombuffer(b"".join(bodies), np.uint8)
+    at = _spread_out(np.cumsum(sizes + length - 1) - sizes - length + 1, sizes)
+    strings = np.lib.stride_tricks.sliding_window_view(text, length)[at]
     whole = np.ascontiguousarray(strings).view(np.dtype((np.void, length))).ravel()
     order = np.argsort(whole, kind="stable")
     new = np.append(True, whole[order[1:]] != whole[order[:-1]])
-    rank = np.cumsum(new) - 1
-    own = np.repeat(np.asarray(owners), sizes)
-    low = np.minimum.reduceat(own[order], np.flatnonzero(new))
-    first = np.empty(len(own), np.int64)
-    first[order] = low[rank]
-    return first, own, sizes
+    low = np.minimum.reduceat(np.repeat(np.asarray(owners), sizes)[order], np.flatnonzero(new))
+    first = np.empty(len(order), np.int64)
+    first[order] = low[np.cumsum(new) - 1]
+    return first
 
 
 def _earlier(contexts: DataFrame, length: int, most: int) -> DataFrame:
@@ -299,23 +301,39 @@ def _earlier(contexts: DataFrame, length: int, most: int) -> DataFrame:
         parts = [b for b in batches if len(b)]
         if not parts:
             return
-        rows = pd.concat(parts, ignore_index=True).sort_values("trigger", kind="stable").reset_index(drop=True)
-        by_trigger = rows.groupby("trigger")["owner"]
-        rows = rows[(by_trigger.transform("min") < by_trigger.transform("max")).to_numpy()].reset_index(drop=True)
-        if not len(rows):
-            return
-        trigger = rows["trigger"].to_numpy()
-        edge = np.append(np.flatnonzero(np.append(True, trigger[1:] != trigger[:-1])), len(rows))
+        rows = pd.concat(parts, ignore_index=True)
+        trigger, owner = rows["trigger"].to_numpy(), rows["owner"].to_numpy()
+        # equal contexts are put in order once, with their smallest owner
+        code, bodies = pd.factorize(rows["body"])
+        low = np.full(len(bodies), np.iinfo(np.int64).max)
+        np.minimum.at(low, code, owner)
+        trigger_of = np.empty(len(bodies), np.int64)
+        trigger_of[code] = trigger
+        own, group, many = np.unique(trigger_of, return_inverse=True, return_counts=True)
+        sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) - length + 1
+        base = np.cumsum(sizes) - sizes
+        first = np.repeat(low, sizes)
+        several = np.flatnonzero(many[group] > 1)  # elsewhere all strings of the trigger are in one context
+        several = several[np.argsort(group[several], kind="stable")]
+        edge = np.append(np.flatnonzero(np.append(True, group[several][1:] != group[several][:-1])), len(several)) if len(several) else np.zeros(1, np.int64)
         at = 0
         while at < len(edge) - 1:  # several triggers at once: strings of different triggers differ
             to = max(at + 1, int(np.searchsorted(edge, edge[at] + 4096, "right")) - 1)
-            part = rows.iloc[edge[at]:edge[to]]
-            first, own, sizes = _first_owners(part["body"].tolist(), part["owner"].to_numpy(), length)
-            hit = np.flatnonzero(first < own)
-            row = np.searchsorted(np.cumsum(sizes), hit, "right")
-            place = part["start"].to_numpy()[row] + hit - (np.cumsum(sizes) - sizes)[row]
-            yield pd.DataFrame({"phrase": part["phrase"].to_numpy()[row], "start": place.astype("int32")})
+            part = several[edge[at]:edge[to]]
+            found = _first_owners([bodies[k] for k in part], low[part], length)
+            first[_spread_out(base[part], sizes[part])] = found
             at = to
+        lowest = np.full(len(own), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, group, low)
+        later = np.flatnonzero(lowest[group[code]] < owner)
+        start, phrase = rows["start"].to_numpy(), rows["phrase"].to_numpy()
+        for k in range(0, len(later), 50_000):
+            part = later[k:k + 50_000]
+            n = sizes[code[part]]
+            which = np.repeat(part, n)
+            inside = _spread_out(np.zeros(len(part), np.int64), n)
+            hit = first[base[code[which]] + inside] < owner[which]
+            yield pd.DataFrame({"phrase": phrase[which[hit]], "start": (start[which[hit]] + inside[hit]).astype("int32")})
 
     few = contexts.join(large, "trigger", "left_anti").select("trigger", "phrase", "start", "owner", "body")
     by_order = few.repartition("trigger").mapInPandas(order, "phrase binary, start int")

@@ -14,11 +14,6 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text as UTF-8 bytes, split at ASCII white space."""
-    return utf8(text).split()
-
-
 def _process_cache() -> dict:
     """A dictionary that lives as long as the Python worker, across tasks."""
     name = "_rowtide_llm_cache"
