@@ -11,6 +11,7 @@ from dataclasses import replace
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from rowtide.functions.time import ntz_to_ms
 from rowtide.operators import ledger as L
 from rowtide.operators.envelope import current_state
 from rowtide.operators.metrics import run_totals
@@ -340,6 +341,44 @@ def q_scd2_job(spark, sf_dir):
     return read_scd2(spark, cfg, "warehouse", contract)
 
 
+# Fixed value: so many batches that scd2_job_all cuts the log into.
+SCD2_BATCHES = 6
+
+
+@query("scd2_job_all", f"""
+WITH b AS (SELECT min(epoch_us(ts) // 1000) AS a, max(epoch_us(ts) // 1000) + 1 AS z FROM events), e AS (
+  SELECT user_id, CAST(value AS DECIMAL(12,2)) AS value, event_type, epoch_us(ts) // 1000 AS t, day(ts) AS seq, event_id,
+    (epoch_us(ts) // 1000 - a) * {SCD2_BATCHES} // (z - a) AS batch
+  FROM events, b
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, batch ORDER BY t DESC, seq DESC, event_id DESC) AS rn FROM e
+), f AS (
+  SELECT *, lag(event_type) OVER w AS pt, lag(value) OVER w AS pv FROM l WHERE rn = 1
+  WINDOW w AS (PARTITION BY user_id ORDER BY batch)
+), v AS (
+  SELECT *, lead(t) OVER (PARTITION BY user_id ORDER BY batch) AS nt FROM f
+  WHERE (event_type = 'error' AND pt IS NOT NULL AND pt <> 'error')
+     OR (event_type <> 'error' AND (pt IS NULL OR pt = 'error' OR pt <> event_type OR pv IS DISTINCT FROM value))
+)
+SELECT user_id, value, event_type, make_timestamp(t * 1000) AS valid_from, make_timestamp(nt * 1000) AS valid_to, nt IS NULL AS is_current
+FROM v WHERE event_type <> 'error'
+""")
+def q_scd2_job_all(spark, sf_dir):
+    """K3, J3, J4, J7, J9 on every event: the time between the table's first and
+    last event is cut into equal batches; two of them are sent again afterwards."""
+    contract = replace(USERS, attribute_columns=("value", "event_type"), scd2=True, sinks=("warehouse",))
+    cfg = JobConfig(root=scratch_path(spark, "scd2-job-all"), num_buckets=8)
+    cfg = replace(cfg, registry={**cfg.registry, USERS.fqn: contract})
+    ev = load(spark, sf_dir, "events").withColumn("t", ntz_to_ms("ts"))
+    first, last = ev.agg(F.min("t"), F.max("t")).first()
+    if first is not None:
+        batch = F.expr(f"(t - {first}) * {SCD2_BATCHES} div ({last} + 1 - {first})")
+        for k, part in enumerate((*range(SCD2_BATCHES), 0, 2)):
+            process_batch(spark, event_envelope_lines(ev.filter(batch == part).drop("t")), f"batch-{k}", cfg)
+        return read_scd2(spark, cfg, "warehouse", contract)
+    return spark.createDataFrame([], "user_id long, value decimal(12,2), event_type string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+
+
 @query("land_glued", """
 SELECT 'app' AS db_name, 'users' AS table_name, CAST(ts AS DATE) AS dt, count(*) AS n_events FROM events GROUP BY 3
 UNION ALL
