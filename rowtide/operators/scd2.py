@@ -17,6 +17,7 @@ from rowtide.functions.time import ms_to_ntz
 from rowtide.operators.sequence import group_columns, segmented_last_seen, segmented_shift, with_segment
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current")
+MARKS = ("_began", "_ended", "_seen")  # order keys, see with_marks
 
 
 def _hash(cols: Sequence, strict: bool) -> Column:
@@ -78,35 +79,46 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, deleted: Column | None = None) -> DataFrame:
+               effective: Column, deleted: Column | None = None, order: Column | None = None) -> DataFrame:
     """J3 + J4 (+ J7): the full dimension after applying a batch.
 
     Current rows and batch meet in one full outer join; each key gives its
     current row, closed if its attributes changed (NULL-safe, column by
     column) or ``deleted`` holds, and a new open version if they changed or
-    the key is new. Closed versions pass through.
+    the key is new. Closed versions pass through. With ``order``, ``dim`` has
+    the columns of ``with_marks`` and they are kept up; a key whose first change
+    is a delete then gets a row without ``valid_from``, which readers leave out.
     """
     keys = list(keys)
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     batch = staged.select(*keys, F.struct(*[F.col(a).alias(f"a_{a}") for a in attrs],
-                                          effective.cast("timestamp_ntz").alias("eff"), gone.alias("gone")).alias("_s"))
+                                          effective.cast("timestamp_ntz").alias("eff"), gone.alias("gone"),
+                                          *([] if order is None else [order.alias("ord")])).alias("_s"))
     open_ = dim.filter(F.col("is_current")).select(*keys, F.struct(*dim.columns).alias("_d"))
     d, s = F.col("_d"), F.col("_s")
     same = F.lit(True)
     for a in attrs:
         same = same & d[a].eqNullSafe(s[f"a_{a}"])
-    ends = s.isNotNull() & (s["gone"] | ~same)
-    begins = s.isNotNull() & ~s["gone"] & (d.isNull() | ~same)
+    none = d.isNull() if order is None else d["valid_from"].isNull()  # no open version
+    ends = s.isNotNull() & ~none & (s["gone"] | ~same)
+    begins = s.isNotNull() & ~s["gone"] & (none | ~same)
     types = {f.name: f.dataType for f in dim.schema.fields}
 
     def version(values: dict) -> Column:
         return F.struct(*[values.get(c, F.lit(None)).cast(types[c]).alias(c) for c in dim.columns])
 
-    old = version({c: d[c] for c in dim.columns} | {
-        "valid_to": F.when(ends, s["eff"]).otherwise(d["valid_to"]), "is_current": ~ends})
-    new = version({k: F.col(k) for k in keys} | {a: s[f"a_{a}"] for a in attrs} | {
-        "valid_from": s["eff"], "is_current": F.lit(True)})
-    rows = F.filter(F.array(F.when(d.isNotNull(), old), F.when(begins, new)), lambda x: x.isNotNull())
+    old = {c: d[c] for c in dim.columns} | {
+        "valid_to": F.when(ends, s["eff"]).otherwise(d["valid_to"]), "is_current": ~ends}
+    new = {k: F.col(k) for k in keys} | {a: s[f"a_{a}"] for a in attrs} | {
+        "valid_from": s["eff"], "is_current": F.lit(True)}
+    made = [F.when(d.isNotNull(), version(old)), F.when(begins, version(new))]
+    if order is not None:
+        seen = F.coalesce(s["ord"], d["_seen"])
+        old |= {"_ended": F.when(ends, s["ord"]).otherwise(d["_ended"]), "_seen": seen}
+        new |= {"_began": s["ord"], "_seen": s["ord"]}
+        gone_first = {k: F.col(k) for k in keys} | {"is_current": F.lit(True), "_seen": seen}
+        made = [F.when(~none, version(old)), F.when(begins, version(new)), F.when(none & ~begins, version(gone_first))]
+    rows = F.filter(F.array(*made), lambda x: x.isNotNull())
     after = open_.join(batch, keys, "full_outer").select(F.inline(rows))
     return dim.filter(~F.col("is_current")).unionByName(after)
 
@@ -125,17 +137,64 @@ def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effecti
     return dim.filter(~F.col("is_current")).unionByName(closed)
 
 
-def scd2_in_order(dim: DataFrame, staged: DataFrame, keys: Sequence[str], effective: Column) -> DataFrame:
-    """J9 for SCD2: staged rows with ``_late`` = not after the key's last boundary.
+def with_marks(dim: DataFrame, staged: DataFrame, order: Column) -> DataFrame:
+    """``dim`` with the order keys that ``scd2_merge(order=...)`` keeps, NULL
+    where it has none: of the change that began a version, of the one that
+    ended it, and of the last one seen of the key."""
+    kind = staged.select(order.alias("o")).schema["o"].dataType
+    return dim.select("*", *[F.lit(None).cast(kind).alias(m) for m in MARKS if m not in dim.columns])
 
-    The boundary is the latest ``valid_from`` or ``valid_to`` of the key. A row
-    at or before it is a replay or an older event: applying it would close a
-    version before it began. The caller leaves late rows out and reports them.
+
+def scd2_in_order(dim: DataFrame, staged: DataFrame, keys: Sequence[str], effective: Column,
+                  order: Column | None = None) -> DataFrame:
+    """J9 for SCD2: staged rows with ``_late`` = not after what the key has seen.
+
+    With ``order`` (a struct whose first field is the time in ms) that is the
+    key's last order key kept by ``scd2_merge``, so a newer event of the same
+    millisecond is in order. Without it, and for rows without order keys, it is
+    the latest ``valid_from`` or ``valid_to`` of the key. A late row is a replay
+    or an older event: applying it would close a version before it began. The
+    caller leaves late rows out and reports those that ``scd2_unheld`` returns.
+    """
+    keys = list(keys)
+    bound = F.greatest("valid_from", "valid_to")
+    rows = staged.withColumn("_eff", effective.cast("timestamp_ntz"))
+    if order is None:
+        last = dim.groupBy(*keys).agg(F.max(bound).alias("_last"))
+        late = F.col("_eff") <= F.col("_last")
+    else:
+        last = dim.groupBy(*keys).agg(F.max("_seen").alias("_last"), F.max(F.when(F.col("_seen").isNull(), bound)).alias("_bound"))
+        rows = rows.withColumn("_ord", order)
+        late = F.coalesce(F.col("_ord") <= F.col("_last"), F.col("_eff") <= F.col("_bound"))
+    joined = rows.join(last, keys, "left")
+    return joined.withColumn("_late", F.coalesce(late, F.lit(False))).select(*staged.columns, "_late")
+
+
+def scd2_unheld(dim: DataFrame, late: DataFrame, keys: Sequence[str], attrs: Sequence[str],
+                effective: Column, order: Column, deleted: Column) -> DataFrame:
+    """The late rows (one per key) that the history does not hold; the others are
+    replays, or change nothing.
+
+    A change is held if a version with its values covers its time, a delete if
+    no version does. A row is also held if it began or ended a version itself,
+    or if a newer change of the same millisecond did: it was in force for no time.
     """
     keys = list(keys)
-    last = dim.groupBy(*keys).agg(F.max(F.greatest("valid_from", "valid_to")).alias("_last"))
-    joined = staged.withColumn("_eff", effective.cast("timestamp_ntz")).join(last, keys, "left")
-    return joined.withColumn("_late", F.coalesce(F.col("_eff") <= F.col("_last"), F.lit(False))).drop("_eff", "_last")
+    batch = late.select("*", effective.cast("timestamp_ntz").alias("_eff"), order.alias("_ord"),
+                        F.coalesce(deleted, F.lit(False)).alias("_gone"))
+    versions = dim.filter(F.col("valid_from").isNotNull()).select(
+        *keys, *[F.col(a).alias(f"_d_{a}") for a in attrs], "valid_from", "valid_to", "_began", "_ended")
+    covers = (F.col("valid_from") <= F.col("_eff")) & (F.col("valid_to").isNull() | (F.col("_eff") < F.col("valid_to")))
+    same = F.lit(True)
+    for a in attrs:
+        same = same & F.col(a).eqNullSafe(F.col(f"_d_{a}"))
+    own = ((F.col("valid_from") == F.col("_eff")) & (F.col("_began") >= F.col("_ord"))
+           | (F.col("valid_to") == F.col("_eff")) & (F.col("_ended") >= F.col("_ord")))
+    held = F.coalesce(F.max(F.coalesce(own, F.lit(False)) | covers & ~F.col("_gone") & same), F.lit(False))
+    told = batch.join(versions, keys, "left").groupBy(*keys, "_gone").agg(
+        held.alias("_held"), F.coalesce(F.max(covers), F.lit(False)).alias("_covered"))
+    unheld = told.filter(~F.col("_held") & (~F.col("_gone") | F.col("_covered"))).select(*keys)
+    return late.join(unheld, keys, "left_semi")
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],

@@ -4,7 +4,8 @@
 calls. Per batch: classify lines (bad ones to the quarantine table), keep
 the latest change per typed key of each table, then apply it to every enabled
 sink of the table's contract. Values that do not cast go to the quarantine
-with their line and never reach a target. Sinks fail independently; their
+with their line and never reach a target, and so do changes that come too late for
+an SCD2 history (``late_change``). Sinks fail independently; their
 errors are kept as rows of the result, and with ``raise_on_error`` the batch
 raises once all had their try, so the caller replays it. The ledger row is
 written last, so a crash re-applies the batch, and the ordered merges, the
@@ -33,7 +34,7 @@ from rowtide.operators import ledger as L
 from rowtide.operators.envelope import flatten_envelope, latest_typed_per_key, typed_changes
 from rowtide.operators.merge import apply_changes, extend_columns
 from rowtide.operators.quality import classify
-from rowtide.operators.scd2 import open_versions, scd2_in_order, scd2_merge
+from rowtide.operators.scd2 import MARKS, open_versions, scd2_in_order, scd2_merge, scd2_unheld, with_marks
 from rowtide.schemas import LEDGER, WRITE_RESULT
 from rowtide.sinks import fs
 from rowtide.sinks.log import append_silver
@@ -65,6 +66,9 @@ class JobConfig:
     def quarantine_root(self) -> str:
         return f"{self.root.rstrip('/')}/_quarantine"
 
+    def quarantine_path(self, batch_id: str) -> str:
+        return f"{self.quarantine_root}/batch_id={quote(batch_id, safe='')}"
+
     @property
     def silver_root(self) -> str:
         return f"{self.root.rstrip('/')}/_silver"
@@ -104,6 +108,44 @@ def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: Dat
     return t
 
 
+def _keeps_history(cfg: JobConfig, sink: str, c: TableContract) -> bool:
+    return sink == "warehouse" and c.scd2 and sink not in cfg.extra_sinks
+
+
+def _apply_scd2(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, cast: DataFrame,
+                batch_id: str) -> tuple[int, int]:
+    """History of the table; late changes that it does not hold go to the
+    quarantine. Returns the applied upserts and deletes: neither replays nor
+    late changes count."""
+    keys, attrs, order_cols = list(c.primary_keys), list(c.attribute_columns), ["_ts_ms", "_file_seq", "_pos"]
+    t = scd2_table(spark, cfg, sink, c, typed)
+    eff, order, gone = ms_to_ntz("_ts_ms"), F.struct(*order_cols), F.col("_op") == "d"
+    counts, persisted = [], []
+
+    def fn(target, staged):
+        target = with_marks(extend_columns(target, staged.select(*keys, *attrs)), staged, order)
+        marked = scd2_in_order(target, staged, keys, eff, order).persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(marked)
+        n = marked.agg(*[F.count(F.when(w, 1)) for w in (~F.col("_late") & ~gone, ~F.col("_late") & gone, F.col("_late"))]).first()
+        counts.append((n[0], n[1]))
+        if n[2]:
+            late = scd2_unheld(target, marked.filter("_late").drop("_late"), keys, attrs, eff, order, gone)
+            # written before the merge commits: a replay of the batch finds the same ones
+            lines = late.select(*[F.col(k).alias(f"_l_{k}") for k in [*keys, *order_cols]])
+            same = [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in [*keys, *order_cols]]
+            lines = cast.filter(F.col("reason").isNull()).dropDuplicates([*keys, *order_cols]).join(lines, same, "left_semi")
+            lines.select(F.lit("late_change").alias("reason"), "raw").write.mode("append").partitionBy("reason") \
+                .parquet(cfg.quarantine_path(batch_id))
+        return scd2_merge(target, marked.filter(~F.col("_late")), keys, attrs, eff, gone, order)
+
+    try:
+        t.merge(typed, fn)
+    finally:
+        for p in persisted:
+            p.unpersist()
+    return counts[0]
+
+
 def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, batch_id: str) -> None:
     keys = list(c.primary_keys)
     if sink in cfg.extra_sinks:
@@ -116,17 +158,6 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
         acts = search_actions(typed, c, deleted=deleted, deleted_at=ms_to_ntz("_ts_ms"))
         write_bulk(acts, f"{cfg.table_root(sink, c)}/{index_name(c)}/batch={batch_id}")
         return
-    if sink == "warehouse" and c.scd2:
-        t = scd2_table(spark, cfg, sink, c, typed)
-        eff = ms_to_ntz("_ts_ms")
-
-        def fn(target, staged):
-            target = extend_columns(target, staged.select(*keys, *c.attribute_columns))
-            rows = scd2_in_order(target, staged, keys, eff).filter(~F.col("_late")).drop("_late")
-            return scd2_merge(target, rows, keys, list(c.attribute_columns), eff, deleted=F.col("_op") == "d")
-
-        t.merge(typed, fn)
-        return
     # warehouse (upsert) and row store: current state with tombstones and
     # the order guard; the row store ignores scd2 and updates column by column
     t = state_table(spark, cfg, sink, c, typed, c.soft_delete)
@@ -170,28 +201,30 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
             cast = cast.withColumn("reason", _conflict_reason(c)).persist(StorageLevel.MEMORY_AND_DISK)
             persisted.append(cast)
             bad = bad.unionByName(cast.filter(F.col("reason").isNotNull()).select("reason", "raw"))
-            tables[c.fqn] = c, flat.drop("raw"), cast.filter(F.col("reason").isNull()).drop("reason", "raw", "_schema_conflict")
+            tables[c.fqn] = c, flat.drop("raw"), cast
         # one folder per batch: a retry replaces what it quarantined before
         fs.for_partitioned_write(bad, "reason").write.mode("overwrite").partitionBy("reason") \
-            .parquet(f"{cfg.quarantine_root}/batch_id={quote(batch_id, safe='')}")
+            .parquet(cfg.quarantine_path(batch_id))
         # the silver append and the sinks of a table are independent jobs: they
         # run concurrently (one driver thread each) so small jobs share the
         # executors; silver appends to the one silver root stay one at a time
         with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
             for c, flat, cast in tables.values():
                 silver = pool.submit(append_silver, flat, cfg.silver_root)
-                typed = latest_typed_per_key(cast, c).persist(StorageLevel.MEMORY_AND_DISK)
+                good_rows = cast.filter(F.col("reason").isNull()).drop("reason", "raw", "_schema_conflict")
+                typed = latest_typed_per_key(good_rows, c).persist(StorageLevel.MEMORY_AND_DISK)
                 persisted.append(typed)
                 counts = typed.agg(
                     F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
                     F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
                 ).first()  # one row
-                jobs = [(sink, pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id))
+                jobs = [(sink, pool.submit(_apply_scd2, spark, cfg, sink, c, typed, cast, batch_id) if _keeps_history(cfg, sink, c)
+                         else pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id))
                         for sink in c.sinks if sink in cfg.enabled_sinks or sink in cfg.extra_sinks]
                 for sink, job in jobs:
                     try:
-                        job.result()
-                        results.append((sink, c.fqn, int(counts["u"] or 0), int(counts["d"] or 0), []))
+                        done = job.result() or (counts["u"], counts["d"])
+                        results.append((sink, c.fqn, int(done[0] or 0), int(done[1] or 0), []))
                     except Exception as e:  # noqa: BLE001 - sinks fail independently
                         results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"]))
                 silver.result()  # a failed silver append fails the batch
@@ -222,4 +255,6 @@ def read_current(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContrac
 
 
 def read_scd2(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> DataFrame:
-    return VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys).read()
+    """Readers' view of a history: its versions, without the order keys."""
+    t = VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys)
+    return t.read().filter(F.col("valid_from").isNotNull()).drop(*MARKS)

@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, envelope
 from rowtide.contracts import REGISTRY, TableContract
 from rowtide.operators import ledger as L
-from rowtide.plans.batch_job import JobConfig, process_batch, read_current
+from rowtide.plans.batch_job import JobConfig, process_batch, read_current, read_scd2
 from rowtide.plans.common import USERS, event_lines, flat_events
 from rowtide.session import scratch_path
 from rowtide.sinks import jdbc
@@ -127,6 +128,34 @@ def test_batch_job_end_to_end_and_replay(spark, lines):
     assert spark.read.parquet(cfg.quarantine_root).filter("batch_id = 'b2'").count() == 1
 
 
+def test_late_changes_of_a_history_are_quarantined_and_replays_are_not(spark, lines):
+    c = TableContract("sales", "customers", ("customer_id",), ("tier",), ("warehouse",), scd2=True, column_types={"customer_id": "bigint"})
+    cfg = JobConfig(root=scratch_path(spark, "late-job"), num_buckets=4, registry={c.fqn: c})
+
+    def change(op, key, ts, pos, tier):
+        return envelope(op, key, ts, pos, table="customers", key_col="customer_id", extra={"tier": tier})
+
+    def run(batch_id, *batch):
+        (r,) = process_batch(spark, lines(*batch), batch_id, cfg).collect()
+        assert not r.errors, r
+        return r.upserted, r.deleted
+
+    first = [change("c", 1, 1000, 1, "gold"), change("c", 2, 1000, 2, "a"), change("d", 3, 5000, 3, "z")]
+    assert run("b1", *first) == (2, 1)
+    assert run("b2", change("u", 1, 4000, 9, "gold"), change("u", 2, 1000, 10, "b")) == (2, 0)  # unchanged; same ms, newer
+    late = [change("u", 1, 2000, 5, "silver"), change("c", 3, 2000, 4, "z")]
+    assert run("b3", *late, change("d", 2, 9000, 20, "b")) == (0, 1)
+    assert run("b4", *first) == (0, 0)  # sent again: held by the history
+    assert run("b5", change("u", 1, 4000, 9, "gold"), change("u", 2, 1000, 10, "b")) == (0, 0)
+    assert run("b6", change("d", 1, 3000, 6, "gold")) == (0, 0)  # a late delete
+    rows = spark.read.parquet(cfg.quarantine_root).filter("reason = 'late_change'").collect()
+    assert sorted((r.batch_id, r.raw) for r in rows) == sorted([("b3", x) for x in late] + [("b6", change("d", 1, 3000, 6, "gold"))])
+    ms = lambda x: None if x is None else x.timestamp() - datetime(1970, 1, 1).timestamp()
+    got = sorted(((r.customer_id, r.tier, ms(r.valid_from), ms(r.valid_to), r.is_current)
+                  for r in read_scd2(spark, cfg, "warehouse", c).collect()), key=str)
+    assert got == [(1, "gold", 1, None, True), (2, "a", 1, 1, False), (2, "b", 1, 9, False)]
+
+
 def test_landing_range_scan_prunes_partitions(spark):
     root = scratch_path(spark, "land")
     landing.land_lines(event_lines(spark, SF_SMALL), root, root + "-err")
