@@ -67,7 +67,11 @@ class JobConfig:
         return f"{self.root.rstrip('/')}/_quarantine"
 
     def quarantine_path(self, batch_id: str) -> str:
-        return f"{self.quarantine_root}/batch_id={quote(batch_id, safe='')}"
+        return f"{self.quarantine_root}/{self.batch_folder(batch_id)}"
+
+    def batch_folder(self, batch_id: str) -> str:
+        """What a batch writes of its own is keyed as the ledger is: by job and batch."""
+        return f"job_name={quote(self.job_name, safe='')}/batch_id={quote(batch_id, safe='')}"
 
     @property
     def silver_root(self) -> str:
@@ -156,7 +160,7 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
     if sink == "search":
         deleted = F.col("_op") == "d"
         acts = search_actions(typed, c, deleted=deleted, deleted_at=ms_to_ntz("_ts_ms"))
-        write_bulk(acts, f"{cfg.table_root(sink, c)}/{index_name(c)}/batch={batch_id}")
+        write_bulk(acts, f"{cfg.table_root(sink, c)}/{index_name(c)}/{cfg.batch_folder(batch_id)}")
         return
     # warehouse (upsert) and row store: current state with tombstones and
     # the order guard; the row store ignores scd2 and updates column by column
@@ -202,7 +206,7 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
             persisted.append(cast)
             bad = bad.unionByName(cast.filter(F.col("reason").isNotNull()).select("reason", "raw"))
             tables[c.fqn] = c, flat.drop("raw"), cast
-        # one folder per batch: a retry replaces what it quarantined before
+        # one folder per job and batch: a retry replaces what it quarantined before
         fs.for_partitioned_write(bad, "reason").write.mode("overwrite").partitionBy("reason") \
             .parquet(cfg.quarantine_path(batch_id))
         # the silver append and the sinks of a table are independent jobs: they

@@ -246,7 +246,8 @@ SELECT CASE WHEN event_id % 10 = 0 THEN 'key_conflict' ELSE 'schema_conflict' EN
 FROM events WHERE event_id % 10 IN (0, 1) AND event_type <> 'error' GROUP BY 1
 """)
 def q_job_quarantine(spark, sf_dir):
-    """Q3/Q4 in the job, run twice: values and keys that do not cast, counted in the stored quarantine."""
+    """Q3/Q4 in the job: values and keys that do not cast, counted in the stored quarantine of
+    two jobs that give their different lines the same batch id; the first job fails and is retried."""
     cfg = JobConfig(root=scratch_path(spark, "quarantine"), num_buckets=8)
     ev = load(spark, sf_dir, "events")
     digit = F.pmod(F.col("event_id"), F.lit(10))
@@ -255,9 +256,11 @@ def q_job_quarantine(spark, sf_dir):
     bad_key = pay.withField("after", F.map_concat(F.map_filter(pay["after"], lambda k, _: k != "user_id"), F.create_map(F.lit("user_id"), F.lit("abc"))))
     bad_value = pay.withField("after", F.map_concat(F.map_filter(pay["after"], lambda k, _: k != "value"), F.create_map(F.lit("value"), F.lit("9.9x"))))
     line = F.when(live & (digit == 0), bad_key).when(live & (digit == 1), bad_value).otherwise(pay)
-    lines = ev.select(F.to_json(F.struct(line.alias("payload"))).alias("value"))
-    process_batch(spark, lines, "batch-1", replace(cfg, job_name="first"))
-    process_batch(spark, lines, "batch-1", replace(cfg, job_name="second"))  # a retry quarantines nothing twice
+    half = F.pmod(F.floor(F.col("event_id") / 10), F.lit(2))
+    first, second = (ev.filter(half == k).select(F.to_json(F.struct(line.alias("payload"))).alias("value")) for k in (0, 1))
+    process_batch(spark, first, "batch-1", replace(_with_failing_sink(cfg), job_name="first"))
+    process_batch(spark, second, "batch-1", replace(cfg, job_name="second"))
+    process_batch(spark, first, "batch-1", replace(cfg, job_name="first"))  # a retry quarantines nothing twice
     return spark.read.parquet(cfg.quarantine_root).groupBy("reason").agg(F.count("*").alias("n_lines"))
 
 

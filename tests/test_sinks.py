@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -128,6 +129,18 @@ def test_batch_job_end_to_end_and_replay(spark, lines):
     assert spark.read.parquet(cfg.quarantine_root).filter("batch_id = 'b2'").count() == 1
 
 
+def test_jobs_with_the_same_batch_id_keep_their_own_files(spark, lines):
+    c = TableContract("sales", "customers", ("customer_id",), ("tier",), ("search",))
+    cfg = JobConfig(root=scratch_path(spark, "jobs"), num_buckets=4, registry={c.fqn: c})
+    for job, key in (("first", 1), ("second", 2)):
+        good = envelope("c", key, 1000, key, table="customers", key_col="customer_id", extra={"tier": "x"})
+        process_batch(spark, lines(good, f"not json {job}"), "b1", replace(cfg, job_name=job))
+    got = spark.read.parquet(cfg.quarantine_root).select("job_name", "batch_id", "raw").collect()
+    assert sorted(tuple(r) for r in got) == [("first", "b1", "not json first"), ("second", "b1", "not json second")]
+    docs = spark.read.option("recursiveFileLookup", "true").text(cfg.table_root("search", c)).collect()
+    assert sum('"_id"' in r.value for r in docs) == 2
+
+
 def test_late_changes_of_a_history_are_quarantined_and_replays_are_not(spark, lines):
     c = TableContract("sales", "customers", ("customer_id",), ("tier",), ("warehouse",), scd2=True, column_types={"customer_id": "bigint"})
     cfg = JobConfig(root=scratch_path(spark, "late-job"), num_buckets=4, registry={c.fqn: c})
