@@ -6,7 +6,7 @@ have it. Two fingerprints link when they differ in at most ``radius`` bits.
 Search: of ``radius + 1`` blocks of bits at least one is equal in linked
 fingerprints, so the distinct fingerprints are dealt by (block, value of the
 block). A group that is still large is dealt again by blocks of the bits not
-yet used, until it is small, so neither volume nor a huge group of near
+yet used, until it is small or too few bits are left, so neither volume nor a huge group of near
 copies meets in one task. In each group the fingerprints are sorted by Gray
 rank, in which shared leading bits stand together: a node of the index is a
 run that shares a masked bit pattern, split further byte by byte. A query
@@ -184,7 +184,9 @@ def links(fps: DataFrame, radius: int, most: int = 4096) -> DataFrame:
             rows = rows.withColumn("via", F.lit(k))
             dealt = rows if dealt is None else dealt.union(rows)
         dealt = settle(dealt, "simhash-dealt")
-        large = settle(dealt.groupBy("grp").count().where(F.col("count") > (most if depth < deepest else 2**62)).select("grp"), "simhash-large")
+        # a group that leaves too few bits to be dealt again is searched as it is
+        stuck = [k for k, (rest, _, _) in enumerate(step) if len(rest) < 4 * (radius + 1)]
+        large = settle(dealt.where(~F.col("via").isin(stuck)).groupBy("grp").count().where(F.col("count") > (most if depth < deepest else 2**62)).select("grp"), "simhash-large")
         small = dealt.join(large, "grp", "left_anti").select("grp", "fp")
         here = small.repartition("grp").mapInPandas(lambda it: _group_links(it, radius), "a long, b long")
         found = here if found is None else found.union(here)

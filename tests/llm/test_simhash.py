@@ -78,6 +78,26 @@ def test_search_equals_brute_force_when_groups_are_dealt_again(spark):
             assert (top(a) == top(b)) == (root.get(a, a) == root.get(b, b))
 
 
+def test_groups_that_cannot_be_dealt_again_are_searched(spark):
+    rng = random.Random(4)
+    prints = [rng.getrandbits(50) for _ in range(12)]  # equal in their first bits, so all meet in large groups
+    prints += [p ^ sum(1 << b for b in rng.sample(range(50), 12)) for p in prints]
+    up = {p: p for p in prints}
+
+    def top(p):
+        while up[p] != p:
+            p = up[p]
+        return p
+
+    for a in prints:
+        for b in prints:
+            if bin(a ^ b).count("1") <= 14:
+                up[max(top(a), top(b))] = min(top(a), top(b))
+    found = simhash.connected(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), 14, most=2)).collect()
+    root = {r.node: r.root for r in found}
+    assert {p: root.get(p, p) for p in prints} == {p: top(p) for p in prints}
+
+
 def test_keep_one(spark, documents, odd_rows):
     docs = documents(odd_rows)
     kept = simhash.keep_one(docs)
