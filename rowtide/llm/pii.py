@@ -4,7 +4,7 @@ Fixed patterns find the base entities (mail addresses, IP addresses, cards,
 phone numbers). They and a few shapes (``SEEDS``) are the seeds. Every word
 with digits is an instance; what stands around it gives its lexical patterns:
 the two words to its left, and the word to its left with the word to its
-right. On the graph of patterns and instances confidence goes back and forth:
+right, digits in them read as 0. On the graph of patterns and instances confidence goes back and forth:
 a pattern is worth the share of its instances that are believed to be of a
 kind, an instance what the patterns around it make likely. Patterns that end
 up confident name the identifiers that no fixed pattern describes.
@@ -99,15 +99,26 @@ def base_spans(text: Column) -> Column:
 
 def _instances(text: Column) -> Column:
     """Array of (start, end, core, patterns) of the words with digits."""
-    gaps, found = F.split(text, _WORD, -1), F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
-    after = F.concat(F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))), F.array(F.lit("")))
-    steps = F.filter(F.zip_with(F.arrays_zip(gaps.alias("gap"), after.alias("after")), found, lambda g, m: F.struct(g.gap.alias("gap"), g.after.alias("after"), m.alias("match"))), lambda s: s.match.isNotNull())
+    empty = F.array(F.lit(""))
+
+    def beside(both: Column) -> Column:
+        """Each instance with the text around it, up to the second instance before and the next one after."""
+        gaps, found = both.gaps, both.found
+        rest = lambda c: F.concat(F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))), empty)
+        zipped = F.arrays_zip(gaps.alias("gap"), found.alias("match"), F.concat(empty, empty, found).alias("second"), F.concat(empty, gaps).alias("past"),
+                              F.concat(empty, found).alias("first"), rest(gaps).alias("after"), rest(found).alias("next"))
+        return F.transform(F.filter(zipped, lambda s: s.match.isNotNull()), lambda s: F.struct(
+            s.gap.alias("gap"), s.match.alias("match"), F.concat(s.second, s.past, s.first, s.gap).alias("before"), F.concat(s.after, s.next).alias("after")))
+
+    both = F.struct(F.split(text, _WORD, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("found"))
+    steps = F.get(F.transform(F.array(both), beside), F.lit(0))  # bound to a variable, so both are made once
+
     def step(acc: Column, s: Column) -> Column:
         at = acc.at + F.length(s.gap)
         open_ = F.length(F.regexp_substr(s.match, F.lit(_OPENING)))
         core = F.regexp_replace(F.regexp_replace(s.match, _OPENING, ""), _CLOSING, "")
         one = F.struct((at + open_).alias("start"), (at + open_ + F.length(core)).alias("end"), core.alias("core"),
-                       F.substring(s.gap, -_CONTEXT, _CONTEXT).alias("before"), F.substring(s.after, 1, _CONTEXT).alias("after"))
+                       F.substring(s.before, -_CONTEXT, _CONTEXT).alias("before"), F.substring(s.after, 1, _CONTEXT).alias("after"))
         return F.struct((at + F.length(s.match)).alias("at"), F.concat(acc.out, F.array(one)).alias("out"))
 
     return _running(steps, "struct<start:int,end:int,core:string,before:string,after:string>", step)
@@ -124,7 +135,7 @@ def scan(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,end:int,core:string,before:string,after:string>>")
     return settle(docs.select(
         "doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("row_key"), base_spans(text).alias("base"),
-        F.when(text.rlike("[0-9]{2}"), _instances(text)).otherwise(none).alias("instances")), "pii-scan")
+        F.when(text.rlike("[0-9]"), _instances(text)).otherwise(none).alias("instances")), "pii-scan")
 
 
 def _occurrences(scanned: DataFrame, least_chars: int, least_digits: int) -> DataFrame:

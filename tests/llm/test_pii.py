@@ -78,6 +78,20 @@ def test_patterns_discover_unseen_identifiers(spark, documents, odd_rows):
     assert by[7][0].text == dict(odd_rows)[7]
 
 
+def test_words_with_digits_are_context(spark, documents):
+    rng = random.Random(3)
+    seeds = secrets(rng, 12, "0123456789abcdef")
+    unseen = ["".join(rng.choice("QRSTUVWXYZ") + rng.choice("0123456789") for _ in range(6)) for _ in range(3)]
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(5))
+    rows = [(i, f'{word()} no{i % 10} = "{s}" {i % 10} end') for i, s in enumerate(seeds + unseen)]  # only 'no0 =' and '= _ 0'
+    text = 'a line 12 token AB12CD34EF 200 b'
+    got = spark.createDataFrame([(text,)], "text string").select(F.explode(pii._instances(F.col("text"))).alias("i")).select("i.*").collect()
+    assert [(r.core, r.before, r.after) for r in got] == [
+        ("12", "a line ", " token AB12CD34EF"), ("AB12CD34EF", "a line 12 token ", " 200"), ("200", "12 token AB12CD34EF ", " b")]
+    for r in pii.spans(documents(rows)).select("doc_id", "found").collect():
+        assert [(s.kind, rows[r.doc_id][1][s.start:s.end]) for s in r.found if s.kind == "secret"] == [("secret", (seeds + unseen)[r.doc_id])]
+
+
 def test_overlapping_spans_are_redacted_together(spark, documents):
     got = pii.redact(documents([(1, "x +4111 1111 1111 1111 y"), (2, "a@b.co1.2.3.4")])).orderBy("doc_id").collect()
     assert got[0].text == "x <CARD> y" or got[0].text == "x <PHONE> y" or got[0].text == "x +<CARD> y"
