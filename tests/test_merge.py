@@ -2,7 +2,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from cdc_helpers import SF_SMALL
 from rowtide.operators.envelope import latest_change_per_key, typed_changes
 from rowtide.operators.merge import apply_changes, delete_physical, delete_soft, merge_replace, merge_update, visible
 from rowtide.operators.scd2 import open_versions, scd2_history, scd2_in_order, scd2_merge

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-from conftest import SF_SMALL  # noqa: E402
+from cdc_helpers import SF_SMALL  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 from rowtide.plans import ORACLES, QUERIES  # noqa: E402
 

@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, envelope
+from cdc_helpers import SF_SMALL, envelope
 from rowtide.contracts import REGISTRY, TableContract
 from rowtide.operators import ledger as L
 from rowtide.plans.batch_job import JobConfig, process_batch, read_current, read_scd2

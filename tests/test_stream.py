@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from cdc_helpers import SF_SMALL
 from rowtide.operators.envelope import current_state
 from rowtide.plans.batch_job import JobConfig, read_current
 from rowtide.plans.common import USERS, flat_events
