@@ -131,3 +131,15 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rowtide.llm.substrings import deduplicate
 
     return deduplicate(table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled uniformly into 16 shards; row counts are at most one apart."""
+    from rowtide.llm.sharding import shuffle
+
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    size = (F.octet_length(body) + 1).cast("long").alias("size")
+    docs = table(spark, sf_dir, "documents").select("doc_id", size, F.crc32(body).alias("text_crc32"))
+    return shuffle(docs, shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
