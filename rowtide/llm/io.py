@@ -11,6 +11,7 @@ returned are ever read.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,20 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for the jobs run inside; the
+    session's own setting is back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path in it) of a URI or a plain path."""
     from pyarrow import fs
