@@ -173,3 +173,50 @@ FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 *
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 5
 """
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    from rowtide.llm.spelling import variants, vocabulary
+
+    return variants(vocabulary(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op11_spelling"] = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+  ) GROUP BY ALL
+), hashed AS (
+  SELECT run, k, xor(list_reduce(flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+      lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM runs, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, sum(k)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3
+), plain AS ( -- levenshtein() counts bytes: one byte for each letter
+  SELECT *, translate(word, list_aggregate(list_transform(range(192, 256), lambda i: chr(i::INTEGER)), 'string_agg', ''),
+    list_aggregate(list_transform(range(33, 97), lambda i: chr(i::INTEGER)), 'string_agg', '')) AS p FROM words
+), near AS (
+  SELECT DISTINCT word, n, other, other_n FROM (
+    SELECT w.word, w.n, v.word AS other, v.n AS other_n, w.p, v.p AS q FROM plain w JOIN plain v ON left(w.p, 2) = left(v.p, 2) AND abs(length(w.p) - length(v.p)) <= 1
+    UNION ALL
+    SELECT w.word, w.n, v.word, v.n, w.p, v.p FROM plain w JOIN plain v ON right(w.p, 2) = right(v.p, 2) AND abs(length(w.p) - length(v.p)) <= 1
+  ) WHERE levenshtein(p, q) = 1
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS form_n, arg_min(other, {'a': -other_n, 'b': other}) AS form FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form, CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), up AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT up.word, f.form FROM up JOIN formed f ON f.word = up.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, u.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT up.word, up.root FROM up JOIN formed g ON g.word = up.root WHERE g.form IS NULL) u USING (word)
+"""

@@ -93,5 +93,7 @@ def test_many_copies_of_one_vector(spark):
 
 def test_empty_table_and_no_anchor(spark):
     assert mined(spark, [(1, [1.0], 1)]) == Counter()
+    assert mined(spark, [(10, [1.0], 1), (11, [1.0], 2)]) == Counter()  # no positive
+    assert mined(spark, [(10, [1.0], 1), (11, [1.0], 1)]) == Counter()  # no negative
     df = spark.createDataFrame([], SCHEMA)
     assert hard_negatives(quantized(df, F.col("label")), F.col("vec_id") % 10 == 0).collect() == []
