@@ -153,7 +153,7 @@ def overlap(part: list[str], passage: list[str], run: int) -> float:
 class Index:
     """Inverted index of one bounded shard of items, with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int, mean_length: float, k1: float = 1.2, b: float = 0.75, block: int = 32):
+    def __init__(self, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int, mean_length: float, k1: float = 1.2, b: float = 0.75, block: int = 8):
         import numpy as np
 
         self.items = [(i, *question_and_answer(t)) for i, t in items]
@@ -175,9 +175,6 @@ class Index:
         self.first = np.searchsorted(term, np.arange(n + 1))
         self.item, self.share, self.block = item, share, item // block
         self.n_blocks = int(self.block.max()) + 1
-        edge = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (self.block[1:] != self.block[:-1])))
-        self.block_first = np.searchsorted(term[edge], np.arange(n + 1))
-        self.block_of, self.block_max = self.block[edge], np.maximum.reduceat(share, edge)
         self.term_max = np.maximum.reduceat(share, self.first[:-1])
         numbers = np.concatenate([word_numbers(folded(w)[:PIECE])[0] for w in self.terms])
         self.term_of = np.argsort(numbers)
@@ -186,6 +183,33 @@ class Index:
             raise ValueError("two terms share a number")
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[numbers >> np.uint64(64 - FILTER_BITS)] = True
+        self.term, self.n_block, self.pivots = term, block, {}
+
+    def pivot(self, threshold: float, seen):
+        """The postings that decide: of each item's terms, from the one found most often in ``seen``
+        (terms of passages) on, those that hold half the threshold together are left to the
+        scoring; a hit must reach the rest by the others. Returns those others by term and
+        block of items (first entries, blocks, largest shares) and the largest share that is left
+        to the scoring in a block. Any order is exact, so the first batch of a process sets it."""
+        import numpy as np
+
+        if threshold not in self.pivots:
+            often = np.bincount(seen, minlength=len(self.terms))
+            order = np.lexsort((self.share, -often[self.term], self.item))
+            item, share = self.item[order], self.share[order]
+            total = np.cumsum(share)
+            first = np.searchsorted(item, item, side="left")
+            upto = total - np.where(first > 0, total[first - 1], 0.0)
+            late = upto < threshold / 2
+            rest = np.zeros(self.n_blocks)
+            np.maximum.at(rest, item[late] // self.n_block, upto[late])
+            term, block, share = self.term[order][~late], item[~late] // self.n_block, share[~late]
+            order = np.lexsort((block, term))
+            term, block, share = term[order], block[order], share[order]
+            edge = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])))
+            first = np.searchsorted(term[edge], np.arange(len(self.terms) + 1))
+            self.pivots[threshold] = first, block[edge], np.maximum.reduceat(share, edge), rest
+        return self.pivots[threshold]
 
     def lookup(self, numbers):
         """(which words are terms, their terms)."""
@@ -216,10 +240,11 @@ class Index:
         if not len(passage):
             return []
         alive, passage = np.unique(passage, return_inverse=True)
-        places, owner = self._spread(self.block_first, term)
-        cell = passage[owner] * self.n_blocks + self.block_of[places]
+        block_first, block_of, block_max, rest = self.pivot(threshold, term)
+        places, owner = self._spread(block_first, term)
+        cell = passage[owner] * self.n_blocks + block_of[places]
         cells, where = np.unique(cell, return_inverse=True)
-        reach = np.bincount(where, self.block_max[places]) >= slack
+        reach = np.bincount(where, block_max[places]) + rest[cells % self.n_blocks] >= slack
         open_cells = cells[reach]
         if not len(open_cells):
             return []
@@ -253,11 +278,12 @@ class Index:
         base = np.cumsum(count // step + 1) - (count // step + 1)
         doc, place, term = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (doc, place, term))
         window = place // step + base[doc]
+        n_windows = int((count // step + 1).sum())
         back = place >= step  # a passage also holds the words of the next step
-        distinct = np.unique(np.concatenate([window * n_terms + term, (window[back] - 1) * n_terms + term[back]]))
+        distinct = np.sort(np.concatenate([window * n_terms + term, (window[back] - 1) * n_terms + term[back]]))
+        distinct = distinct[np.append(True, distinct[1:] != distinct[:-1])] if len(distinct) else distinct
         found: list[dict] = [{} for _ in range(len(texts))]
         lists: dict[int, list[str]] = {}
-        n_windows = int((count // step + 1).sum())
         for passage, item, score in self.retrieve(distinct // n_terms, distinct % n_terms, n_windows, threshold) if len(distinct) else []:
             doc = int(np.searchsorted(base, passage, "right")) - 1
             item_id, question, answer = self.items[item]
