@@ -71,9 +71,3 @@ def latest_first(extra: Iterable = ()) -> list[Column]:
     return [c.desc_nulls_last() for c in change_order_columns()] + [
         _as_col(c).desc_nulls_last() for c in extra
     ]
-
-
-def order_struct(prefix: str = "") -> Column:
-    """The order key as one comparable struct (NULL fields sort lowest)."""
-    ts, seq, pos = change_order_columns(prefix)
-    return F.struct(ts.alias("ts_ms"), seq.alias("file_seq"), pos.alias("pos"))

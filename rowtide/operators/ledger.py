@@ -7,6 +7,8 @@ stale STARTED batch may be retried with the next attempt number.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,21 +73,15 @@ def finish_marks(started: DataFrame, completed_at: Column, row_count: Column | N
     )
 
 
-def in_memory(marks: DataFrame) -> DataFrame:
-    """The marks of one run (a row per batch) fixed as they are now, so that
-    what is written later does not depend on reading the ledger again."""
-    return marks.sparkSession.createDataFrame(marks.collect(), marks.schema)
-
-
 def expire(ledger: DataFrame, as_of: Column, ttl_days: int = TTL_DAYS) -> DataFrame:
     """L4: rows younger than the TTL."""
     return ledger.filter(F.col("started_at") >= as_of - F.make_interval(days=F.lit(ttl_days)))
 
 
-def success_rate(ledger: DataFrame, period: Column) -> DataFrame:
-    """Finished attempts and the share that succeeded, per period."""
+def success_rate(ledger: DataFrame, period: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Finished attempts and the share that succeeded, per period (and ``by``)."""
     done = ledger.filter(F.col("status").isin(SUCCESS, FAILED))
-    return done.groupBy(period.alias("period")).agg(
+    return done.groupBy(*by, period.alias("period")).agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum(F.when(F.col("status") == SUCCESS, 1).otherwise(0)).cast("bigint").alias("succeeded"),
     ).withColumn("success_rate", F.col("succeeded") / F.col("runs"))

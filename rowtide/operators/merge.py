@@ -17,7 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.contracts import TableContract
+from rowtide.functions.casting import cast_value
 from rowtide.functions.time import ms_to_ntz
+from rowtide.operators.envelope import EXTRA
 
 ORDER_COLUMNS = ("_ts_ms", "_file_seq", "_pos")
 HIT = "_hit"
@@ -48,6 +51,27 @@ def extend_columns(target: DataFrame, staged: DataFrame) -> DataFrame:
     return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
 
 
+def promote(target: DataFrame, contract: TableContract) -> DataFrame:
+    """Q2: a stored table with the columns that its contract gained. Their values in
+    older rows come from ``_extra``, where the job keeps what the contract did not name;
+    a value that does not cast stays there."""
+    new = [c for c in contract.columns if c not in target.columns]
+    if not new or EXTRA not in target.columns:
+        return target
+    extra = F.col(EXTRA)
+    values = {c: cast_value(extra[c], contract.type_of(c), contract.epoch_unit_of(c)) for c in new}
+    taken = F.filter(F.array(*[F.when(v.isNotNull(), F.lit(c)) for c, v in values.items()]), lambda c: c.isNotNull())
+    rest = F.map_filter(extra, lambda k, _: ~F.array_contains(taken, k))
+    kept = [c for c in target.columns if c != EXTRA]
+    return target.select(*kept, *[v.alias(c) for c, v in values.items()], F.when(F.size(rest) > 0, rest).alias(EXTRA))
+
+
+def expire_tombstones(state: DataFrame, before_ms: int) -> DataFrame:
+    """The state without tombstones of deletes before ``before_ms``. A change older
+    than the replay horizon can't come any more, so nothing has to outlast it."""
+    return state.filter((F.col("_op") != "d") | (F.col("_ts_ms") >= before_ms) | F.col("_ts_ms").isNull())
+
+
 # J1 -------------------------------------------------------------------------
 def merge_replace(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete target rows whose key is staged, insert all staged rows."""
@@ -110,18 +134,6 @@ def _order(prefix: str = "") -> Column:
     return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in ORDER_COLUMNS])
 
 
-def newer_than_target(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Staged rows whose order key beats the target's (or whose key is new).
-
-    Late or replayed events lose, so the result does not depend on how the
-    log was cut into batches or in which order batches arrive.
-    """
-    keys = list(keys)
-    t_order = target.select(*keys, _order().alias("_t"))
-    joined = staged.join(t_order, keys, "left")
-    return joined.filter(F.col("_t").isNull() | (_order() > F.col("_t"))).select(*staged.columns)
-
-
 # J8 -------------------------------------------------------------------------
 def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
                   soft_delete: bool = False, ordered: bool = True,
@@ -161,6 +173,8 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
             value = F.when(deleted, ms_to_ntz(c["_ts_ms"])) if soft_delete else F.lit(None)
         elif name not in changes.columns:
             value = s[name] if column_wise else F.lit(None)
+        elif name == EXTRA:
+            value = F.when(~deleted, c[name])
         elif name == "_op" or name in ORDER_COLUMNS:
             value = c[name]
         elif soft_delete:
@@ -174,5 +188,5 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str],
 def visible(state: DataFrame, soft_delete: bool = False) -> DataFrame:
     """Readers' view of an applied state: no tombstones, no change metadata."""
     if soft_delete:
-        return state.drop("_op", *ORDER_COLUMNS)
-    return state.filter(F.col("_op") != "d").drop("_op", *ORDER_COLUMNS)
+        return state.drop("_op", EXTRA, *ORDER_COLUMNS)
+    return state.filter(F.col("_op") != "d").drop("_op", EXTRA, *ORDER_COLUMNS)

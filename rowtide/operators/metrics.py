@@ -110,3 +110,35 @@ def breach_streaks(series: DataFrame, by: Sequence[str], order: str, value: str,
     return series.withColumn("breach", breach == 1).withColumn(
         "alarm", F.sum(breach).over(w) == length
     )
+
+
+def rolling(series: DataFrame, by: Sequence[str], period: str, step_minutes: int, steps: int, part: str, whole: str) -> DataFrame:
+    """A7, A8 over a moving span: at each period the sums of ``part`` and ``whole`` over the last
+    ``steps`` periods of ``step_minutes``, by time (an absent period counts nothing),
+    and their ratio ``rate``. The input is an already-aggregated series."""
+    at = F.timestamp_diff("MINUTE", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(period))
+    w = Window.partitionBy(*by).orderBy(at).rangeBetween(-(steps - 1) * step_minutes, 0)
+    summed = series.withColumns({f"{c}_sum": F.sum(c).over(w).cast("bigint") for c in (part, whole)})
+    return summed.withColumn("rate", F.col(f"{part}_sum") / F.col(f"{whole}_sum"))
+
+
+# Fixed value: 2^12 values a level, a rank error of about 0.1 %
+SKETCH_K = 4096
+
+
+def lag_sketches(flat: DataFrame, every: str = "5 minutes", by: Sequence[str] = ("db_name", "table_name")) -> DataFrame:
+    """A6, mergeable: one bounded quantile sketch (KLL) of the lag per group and window."""
+    t = ms_to_ntz("ts_ms")
+    return flat.groupBy(F.window(t, every).alias("w"), *by).agg(
+        F.kll_sketch_agg_bigint(lag_ms(flat), SKETCH_K).alias("sketch"), F.count("*").alias("n_events")
+    ).select(F.col("w.start").alias("window_start"), *by, "n_events", "sketch")
+
+
+def merged_sketches(sketches: DataFrame, period: Column, by: Sequence[str] = ("db_name", "table_name"),
+                    quantiles: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """Sketches of short windows merged into longer periods, with their quantiles;
+    the events are not read again."""
+    merged = sketches.groupBy(period.alias("period"), *by).agg(
+        F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"), F.sum("n_events").alias("n_events"))
+    return merged.select("period", *by, "n_events", "sketch", *[
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"p{int(round(q * 100))}_lag_ms") for q in quantiles])

@@ -7,13 +7,13 @@ so good/bad split and per-rule counts are one pass each.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.contracts import TableContract
+from rowtide.contracts import ColumnRule, TableContract
 from rowtide.functions.casting import cast_failed
 from rowtide.schemas import CORRUPT_COLUMN, VALID_OPS
 
@@ -64,18 +64,43 @@ def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(VIOLATIONS, F.filter(arr, lambda x: x.isNotNull()))
 
 
-def dq_split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(rows passing every rule, rows with their violation names)."""
-    v = with_violations(df, rules)
-    return v.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS), v.filter(F.size(VIOLATIONS) > 0)
+def _fk_flag(rule: ColumnRule) -> str:
+    return f"_fk_{rule.column}"
+
+
+def contract_rules(contract: TableContract) -> list[Rule]:
+    """The contract's rules as violation predicates on typed rows (``with_contract_rules``)."""
+    made = {"not_null": lambda r: not_null(r.column), "enum": lambda r: in_set(r.column, r.values),
+            "range": lambda r: in_range(r.column, r.low, r.high), "fk": lambda r: fk_exists(r.column, _fk_flag(r))}
+    return [made[r.kind](r) for r in contract.rules]
+
+
+def with_contract_rules(rows: DataFrame, contract: TableContract, parents: Callable[[str], DataFrame | None]) -> DataFrame:
+    """Q1: typed changes with ``_violations``, the names of the rules that an upsert
+    breaks; deletes break none, else a bad row could never leave.
+
+    ``parents(fqn)`` gives a stored parent table (None: nothing is stored, so each
+    value breaks its foreign key). The parent's keys meet the rows in one equi-join:
+    adaptive execution broadcasts a small parent and splits a hot key.
+    """
+    if not contract.rules:
+        return rows.withColumn(VIOLATIONS, F.array().cast("array<string>"))
+    out = rows
+    for r in contract.rules:
+        if r.kind == "fk":
+            parent = parents(r.parent)
+            out = out.withColumn(_fk_flag(r), F.lit(False)) if parent is None else with_fk_flag(out, parent, r.column, r.parent_column, _fk_flag(r))
+    out = with_violations(out, contract_rules(contract))
+    broken = F.when(F.col("_op") != "d", F.col(VIOLATIONS)).otherwise(F.array().cast("array<string>"))
+    return out.select(*rows.columns, broken.alias(VIOLATIONS))
 
 
 def dq_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, violations) for every rule, zero counts included; one aggregation."""
     aggs = [F.sum(F.when(r.violated, 1).otherwise(0)).cast("bigint").alias(f"_r{i}") for i, r in enumerate(rules)]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{r.name}', _r{i}" for i, r in enumerate(rules))
-    return wide.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, violations)")
+    pairs = [F.struct(F.lit(r.name).alias("rule"), F.col(f"_r{i}").alias("violations")) for i, r in enumerate(rules)]
+    return wide.select(F.inline(F.array(*pairs)))
 
 
 # Q2 -------------------------------------------------------------------------
@@ -96,7 +121,7 @@ def new_columns(flat: DataFrame, contract: TableContract) -> DataFrame:
 def schema_conflicts(rows: DataFrame, contract: TableContract, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows of string columns with ``_schema_conflict``: columns that do not cast."""
     cols = [c for c in (columns or contract.columns) if c in rows.columns]
-    arr = F.array(*[F.when(cast_failed(F.col(c), contract.type_of(c)), F.lit(c)) for c in cols])
+    arr = F.array(*[F.when(cast_failed(F.col(c), contract.type_of(c), contract.epoch_unit_of(c)), F.lit(c)) for c in cols])
     return rows.withColumn("_schema_conflict", F.filter(arr, lambda x: x.isNotNull()))
 
 
@@ -133,11 +158,3 @@ def classify(parsed: DataFrame, contracts: DataFrame) -> DataFrame:
     key_ok = F.forall(F.col("_c_pk"), lambda k: image[k].isNotNull())
     reason = quarantine_reason(F.col("_c_db").isNotNull(), F.coalesce(key_ok, F.lit(False)))
     return joined.withColumn("reason", reason).drop("_c_db", "_c_table", "_c_pk")
-
-
-def quarantine_split(parsed: DataFrame, contracts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good parsed lines, quarantined lines with reason and raw text)."""
-    c = classify(parsed, contracts)
-    good = c.filter(F.col("reason").isNull()).drop("reason")
-    bad = c.filter(F.col("reason").isNotNull())
-    return good, bad

@@ -17,7 +17,7 @@ from rowtide.functions.time import ms_to_ntz
 from rowtide.operators.sequence import group_columns, segmented_last_seen, segmented_shift, with_segment
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current")
-MARKS = ("_began", "_ended", "_seen")  # order keys, see with_marks
+ORDER = ("_ts_ms", "_file_seq", "_pos")
 
 
 def _hash(cols: Sequence, strict: bool) -> Column:
@@ -79,27 +79,25 @@ def scd2_insert(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: S
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-               effective: Column, deleted: Column | None = None, order: Column | None = None) -> DataFrame:
+               effective: Column, deleted: Column | None = None) -> DataFrame:
     """J3 + J4 (+ J7): the full dimension after applying a batch.
 
     Current rows and batch meet in one full outer join; each key gives its
     current row, closed if its attributes changed (NULL-safe, column by
     column) or ``deleted`` holds, and a new open version if they changed or
-    the key is new. Closed versions pass through. With ``order``, ``dim`` has
-    the columns of ``with_marks`` and they are kept up; a key whose first change
-    is a delete then gets a row without ``valid_from``, which readers leave out.
+    the key is new. Closed versions pass through. For batches in event order;
+    ``scd2_apply`` takes them in any order.
     """
     keys = list(keys)
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     batch = staged.select(*keys, F.struct(*[F.col(a).alias(f"a_{a}") for a in attrs],
-                                          effective.cast("timestamp_ntz").alias("eff"), gone.alias("gone"),
-                                          *([] if order is None else [order.alias("ord")])).alias("_s"))
+                                          effective.cast("timestamp_ntz").alias("eff"), gone.alias("gone")).alias("_s"))
     open_ = dim.filter(F.col("is_current")).select(*keys, F.struct(*dim.columns).alias("_d"))
     d, s = F.col("_d"), F.col("_s")
     same = F.lit(True)
     for a in attrs:
         same = same & d[a].eqNullSafe(s[f"a_{a}"])
-    none = d.isNull() if order is None else d["valid_from"].isNull()  # no open version
+    none = d.isNull()  # no open version
     ends = s.isNotNull() & ~none & (s["gone"] | ~same)
     begins = s.isNotNull() & ~s["gone"] & (none | ~same)
     types = {f.name: f.dataType for f in dim.schema.fields}
@@ -112,12 +110,6 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Se
     new = {k: F.col(k) for k in keys} | {a: s[f"a_{a}"] for a in attrs} | {
         "valid_from": s["eff"], "is_current": F.lit(True)}
     made = [F.when(d.isNotNull(), version(old)), F.when(begins, version(new))]
-    if order is not None:
-        seen = F.coalesce(s["ord"], d["_seen"])
-        old |= {"_ended": F.when(ends, s["ord"]).otherwise(d["_ended"]), "_seen": seen}
-        new |= {"_began": s["ord"], "_seen": s["ord"]}
-        gone_first = {k: F.col(k) for k in keys} | {"is_current": F.lit(True), "_seen": seen}
-        made = [F.when(~none, version(old)), F.when(begins, version(new)), F.when(none & ~begins, version(gone_first))]
     rows = F.filter(F.array(*made), lambda x: x.isNotNull())
     after = open_.join(batch, keys, "full_outer").select(F.inline(rows))
     return dim.filter(~F.col("is_current")).unionByName(after)
@@ -137,64 +129,19 @@ def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effecti
     return dim.filter(~F.col("is_current")).unionByName(closed)
 
 
-def with_marks(dim: DataFrame, staged: DataFrame, order: Column) -> DataFrame:
-    """``dim`` with the order keys that ``scd2_merge(order=...)`` keeps, NULL
-    where it has none: of the change that began a version, of the one that
-    ended it, and of the last one seen of the key."""
-    kind = staged.select(order.alias("o")).schema["o"].dataType
-    return dim.select("*", *[F.lit(None).cast(kind).alias(m) for m in MARKS if m not in dim.columns])
-
-
-def scd2_in_order(dim: DataFrame, staged: DataFrame, keys: Sequence[str], effective: Column,
-                  order: Column | None = None) -> DataFrame:
-    """J9 for SCD2: staged rows with ``_late`` = not after what the key has seen.
-
-    With ``order`` (a struct whose first field is the time in ms) that is the
-    key's last order key kept by ``scd2_merge``, so a newer event of the same
-    millisecond is in order. Without it, and for rows without order keys, it is
-    the latest ``valid_from`` or ``valid_to`` of the key. A late row is a replay
-    or an older event: applying it would close a version before it began. The
-    caller leaves late rows out and reports those that ``scd2_unheld`` returns.
-    """
-    keys = list(keys)
-    bound = F.greatest("valid_from", "valid_to")
-    rows = staged.withColumn("_eff", effective.cast("timestamp_ntz"))
-    if order is None:
-        last = dim.groupBy(*keys).agg(F.max(bound).alias("_last"))
-        late = F.col("_eff") <= F.col("_last")
-    else:
-        last = dim.groupBy(*keys).agg(F.max("_seen").alias("_last"), F.max(F.when(F.col("_seen").isNull(), bound)).alias("_bound"))
-        rows = rows.withColumn("_ord", order)
-        late = F.coalesce(F.col("_ord") <= F.col("_last"), F.col("_eff") <= F.col("_bound"))
-    joined = rows.join(last, keys, "left")
-    return joined.withColumn("_late", F.coalesce(late, F.lit(False))).select(*staged.columns, "_late")
-
-
-def scd2_unheld(dim: DataFrame, late: DataFrame, keys: Sequence[str], attrs: Sequence[str],
-                effective: Column, order: Column, deleted: Column) -> DataFrame:
-    """The late rows (one per key) that the history does not hold; the others are
-    replays, or change nothing.
-
-    A change is held if a version with its values covers its time, a delete if
-    no version does. A row is also held if it began or ended a version itself,
-    or if a newer change of the same millisecond did: it was in force for no time.
-    """
-    keys = list(keys)
-    batch = late.select("*", effective.cast("timestamp_ntz").alias("_eff"), order.alias("_ord"),
-                        F.coalesce(deleted, F.lit(False)).alias("_gone"))
-    versions = dim.filter(F.col("valid_from").isNotNull()).select(
-        *keys, *[F.col(a).alias(f"_d_{a}") for a in attrs], "valid_from", "valid_to", "_began", "_ended")
-    covers = (F.col("valid_from") <= F.col("_eff")) & (F.col("valid_to").isNull() | (F.col("_eff") < F.col("valid_to")))
-    same = F.lit(True)
-    for a in attrs:
-        same = same & F.col(a).eqNullSafe(F.col(f"_d_{a}"))
-    own = ((F.col("valid_from") == F.col("_eff")) & (F.col("_began") >= F.col("_ord"))
-           | (F.col("valid_to") == F.col("_eff")) & (F.col("_ended") >= F.col("_ord")))
-    held = F.coalesce(F.max(F.coalesce(own, F.lit(False)) | covers & ~F.col("_gone") & same), F.lit(False))
-    told = batch.join(versions, keys, "left").groupBy(*keys, "_gone").agg(
-        held.alias("_held"), F.coalesce(F.max(covers), F.lit(False)).alias("_covered"))
-    unheld = told.filter(~F.col("_held") & (~F.col("_gone") | F.col("_covered"))).select(*keys)
-    return late.join(unheld, keys, "left_semi")
+def _with_intervals(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order: Sequence[Column],
+                    ts_ms: str, op: str, strict: bool, segment_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """(changes that open or close a version, with ``_next_t``, the time of the next such
+    one; the others). Both neighbour lookups run per (key, time segment)."""
+    ordn = [f"_ord{i}" for i in range(len(order))]
+    marked = changes.select("*", F.col(ts_ms).alias("_t"), F.col(op).alias("_o"),
+                            *[o.alias(n) for o, n in zip(order, ordn)], _hash(tracked, strict).alias("_h"))
+    marked = segmented_shift(with_segment(marked, ordn[0], segment_seconds), keys, ordn, ["_o", "_h"], "prev", "_prev")
+    is_del = F.col("_o") == "d"
+    prev_open = F.col("_prev_o").isNotNull() & (F.col("_prev_o") != "d")
+    keep = (is_del & prev_open) | (~is_del & (~prev_open | ~F.col("_h").eqNullSafe(F.col("_prev_h"))))
+    kept = segmented_shift(marked.filter(keep), keys, ordn, ["_t"], "next", "_next", clustered=True)
+    return kept, marked.filter(~F.coalesce(keep, F.lit(False)))
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -210,21 +157,11 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     shuffles the log once, on (key, segment).
     """
     keys = list(keys)
-    h = _hash(tracked, strict)
-    ordn = [f"_ord{i}" for i in range(len(order))]
-    marked = changes.select(
-        *keys, *tracked, F.col(ts_ms).alias("_t"), F.col(op).alias("_o"),
-        *[o.alias(n) for o, n in zip(order, ordn)], h.alias("_h"),
-    )
-    marked = segmented_shift(with_segment(marked, ordn[0], segment_seconds), keys, ordn, ["_o", "_h"],
-                             "prev", "_prev")
-    is_del = F.col("_o") == "d"
-    prev_open = F.col("_prev_o").isNotNull() & (F.col("_prev_o") != "d")
-    keep = (is_del & prev_open) | (
-        ~is_del & (~prev_open | ~F.col("_h").eqNullSafe(F.col("_prev_h")))
-    )
-    versions = segmented_shift(marked.filter(keep), keys, ordn, ["_t"], "next", "_next", clustered=True)
-    return versions.filter(F.col("_o") != "d").select(
+    used = list(dict.fromkeys([*keys, *tracked, ts_ms, op]))
+    named = [o.alias(f"_in{i}") for i, o in enumerate(order)]
+    order = [F.col(f"_in{i}") for i in range(len(order))]
+    kept, _ = _with_intervals(changes.select(*used, *named), keys, tracked, order, ts_ms, op, strict, segment_seconds)
+    return kept.filter(F.col("_o") != "d").select(
         *keys, *tracked,
         ms_to_ntz("_t").alias("valid_from"),
         ms_to_ntz("_next_t").alias("valid_to"),
@@ -232,6 +169,54 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     )
 
 
+def empty_points(staged: DataFrame) -> DataFrame:
+    """The schema of ``scd2_apply``'s table for staged changes like these."""
+    none = F.lit(None).cast("timestamp_ntz")
+    return staged.select("*", none.alias("valid_from"), none.alias("valid_to"), F.lit(None).cast("boolean").alias("is_current")).where("false")
+
+
+def scd2_apply(points: DataFrame, staged: DataFrame, keys: Sequence[str], attrs: Sequence[str],
+               everything: bool = False, segment_seconds: int = 3600) -> DataFrame:
+    """A history after a batch of changes that may be of any age.
+
+    The stored table has a row for each change ever applied (a point): keys, attributes,
+    ``_op``, the order columns and, where the change opened a version, ``valid_from``,
+    ``valid_to`` and ``is_current``. A batch adds its points, those already there count
+    once, and the intervals of the keys it touches are laid anew: a late change splits the
+    version that covers it, and changes that repeated their predecessor's values are at
+    hand when something comes between them. So the history does not depend on how
+    the log was cut into batches or in which order they came; it equals ``scd2_history``
+    over all of them. ``everything`` lays the intervals of all keys (a tracked column is new).
+
+    Untouched keys pass through. A hot key is spread over time segments. Of the
+    changes in one millisecond at one log position the order is by op and values.
+    """
+    keys, same = list(keys), [*keys, *ORDER, "_op", *attrs]
+    interval = ["valid_from", "valid_to", "is_current"]
+    touched = staged.select(*keys).distinct()
+    old = points.drop(*interval)
+    if not everything:
+        rest = points.join(touched, keys, "left_anti")
+        old = old.join(touched, keys, "left_semi")
+    both = old.withColumn("_age", F.lit(0)).unionByName(staged.select(*[c for c in points.columns if c not in interval]).withColumn("_age", F.lit(1)))
+    others = [c for c in points.columns if c not in same and c not in interval]
+    once = both.groupBy(*same).agg(F.min_by(F.struct(*others), "_age").alias("_others")).select(*same, *[F.col(f"_others.{c}").alias(c) for c in others])
+    tie = change_hash_strict(["_op", *attrs])
+    kept, repeats = _with_intervals(once, keys, attrs, [*[F.col(c) for c in ORDER], tie], "_ts_ms", "_op", True, segment_seconds)
+    opens = F.col("_o") != "d"
+    laid = kept.withColumns({"valid_from": F.when(opens, ms_to_ntz("_t")), "valid_to": F.when(opens, ms_to_ntz("_next_t")),
+                             "is_current": F.when(opens, F.col("_next_t").isNull())})
+    none = F.lit(None)
+    repeats = repeats.withColumns({c: none.cast(points.schema[c].dataType) for c in interval})
+    out = laid.select(*points.columns).unionByName(repeats.select(*points.columns))
+    return out if everything else out.unionByName(rest)
+
+
+def versions(points: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+    """Readers' view of a history kept by ``scd2_apply``."""
+    return points.filter(F.col("valid_from").isNotNull()).select(*keys, *attrs, "valid_from", "valid_to", "is_current")
+
+
 def as_of_join(facts: DataFrame, dim: DataFrame, fact_keys: Sequence[str], dim_keys: Sequence[str],
                fact_ts: str, dim_cols: Sequence[str], how: str = "left",
                segment_seconds: int = 86400) -> DataFrame:

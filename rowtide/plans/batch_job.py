@@ -1,19 +1,20 @@
-"""One batch of raw lines → every sink, with ledger and quarantine.
+"""One batch of raw lines → every sink, with ledger and quarantine.
 
 ``process_batch`` is what a scheduled job or a stream's ``foreachBatch``
-calls. Per batch: classify lines (bad ones to the quarantine table), keep
-the latest change per typed key of each table, then apply it to every enabled
-sink of the table's contract. Values that do not cast go to the quarantine
-with their line and never reach a target, and so do changes that come too late for
-an SCD2 history (``late_change``). Sinks fail independently; their
-errors are kept as rows of the result, and with ``raise_on_error`` the batch
-raises once all had their try, so the caller replays it. The ledger row is
-written last, so a crash re-applies the batch, and the ordered merges, the
-event keys and the per-batch quarantine folder make that a no-op.
+calls. Per batch: claim it, classify lines (bad ones to the quarantine), split updates
+that change a key, cast to the contract, check its rules, then apply the changes to
+every enabled sink of the table: current-state sinks get the latest change per typed
+key, histories all of them, of any age. Values that do not cast and rows that break a
+rule go to the quarantine with their line and never reach a target. What the contract
+does not name is kept in ``_extra`` and reported, so a column that is added later
+has its old values. Sinks fail independently; their errors are kept as rows of the
+result, and with ``raise_on_error`` the batch raises once all had their try, so the
+caller replays it. The ledger rows are written last, so a crash re-applies the batch,
+and the ordered merges, the event keys and the per-batch quarantine folder make
+that a no-op.
 
 Scale: the classified batch is persisted once; per table the typed
-changes are persisted once; every merge reads only the target buckets the
-batch touches. Driver-side loops run over
+changes are persisted once. Driver-side loops run over
 tables and sinks (a handful), never over rows.
 """
 
@@ -31,17 +32,21 @@ from pyspark.sql import functions as F
 from rowtide.contracts import REGISTRY, SINKS, TableContract, contract_table
 from rowtide.functions.time import ms_to_ntz
 from rowtide.operators import ledger as L
-from rowtide.operators.envelope import flatten_envelope, latest_typed_per_key, typed_changes
-from rowtide.operators.merge import apply_changes, extend_columns
-from rowtide.operators.quality import classify
-from rowtide.operators.scd2 import MARKS, open_versions, scd2_in_order, scd2_merge, scd2_unheld, with_marks
+from rowtide.operators.envelope import EXTRA, flatten_envelope, latest_typed_per_key, split_key_changes, typed_changes
+from rowtide.operators.merge import apply_changes, expire_tombstones, extend_columns, promote, visible
+from rowtide.operators.quality import VIOLATIONS, classify, with_contract_rules
+from rowtide.operators.scd2 import SCD2_COLUMNS, empty_points, scd2_apply, versions
 from rowtide.schemas import LEDGER, WRITE_RESULT
 from rowtide.sinks import fs
+from rowtide.sinks.claims import claim
+from rowtide.sinks.ledger_store import append_marks, read_ledger
 from rowtide.sinks.log import append_silver
-from rowtide.sinks.search import index_name, search_actions, write_bulk
+from rowtide.sinks.search import document_version, index_name, search_actions, write_bulk
 from rowtide.sinks.versioned import VersionedTable
 from rowtide.sources.changelog import parse_change_lines, split_glued
 
+DAY_MS = 86_400_000
+
 
 @dataclass
 class JobConfig:
@@ -49,9 +54,11 @@ class JobConfig:
     job_name: str = "apply_changes"
     enabled_sinks: tuple[str, ...] = SINKS
     registry: dict[str, TableContract] = field(default_factory=lambda: dict(REGISTRY))
-    num_buckets: int = 64  # of tables that the job creates
     parallel_jobs: int = 4
     renames: dict[str, dict[str, str]] = field(default_factory=dict)  # table → column → old name
+    keep_unknown: bool = True  # keep columns that a contract does not name, for when it does
+    lease_seconds: float = 7200  # so long a run that left no mark keeps its batch
+    tombstone_days: int | None = None  # replay horizon: older tombstones leave on merge; None keeps all
     # sinks of the user: name → fn(spark, contract, typed changes, batch id); contracts name them like others
     extra_sinks: dict[str, Callable[[SparkSession, TableContract, DataFrame, str], None]] = field(default_factory=dict)
 
@@ -66,8 +73,12 @@ class JobConfig:
     def quarantine_root(self) -> str:
         return f"{self.root.rstrip('/')}/_quarantine"
 
-    def quarantine_path(self, batch_id: str) -> str:
-        return f"{self.quarantine_root}/{self.batch_folder(batch_id)}"
+    @property
+    def drift_root(self) -> str:
+        return f"{self.root.rstrip('/')}/_drift"
+
+    def claim_folder(self, batch_id: str) -> str:
+        return f"{self.root.rstrip('/')}/_claims/{self.batch_folder(batch_id)}"
 
     def batch_folder(self, batch_id: str) -> str:
         """What a batch writes of its own is keyed as the ledger is: by job and batch."""
@@ -82,75 +93,36 @@ class SinkError(RuntimeError):
     """A sink of the batch failed; the others have been applied."""
 
 
-def _read_ledger(spark: SparkSession, cfg: JobConfig) -> DataFrame:
-    if fs.exists(spark, cfg.ledger_root):
-        return spark.read.schema(LEDGER).parquet(cfg.ledger_root)
-    return spark.createDataFrame([], LEDGER)
-
-
-def open_table(spark, cfg: JobConfig, root: str, c: TableContract) -> VersionedTable:
-    """The table there with its own bucket count; a new one gets the job's."""
-    t = VersionedTable(spark, root, c.primary_keys)
-    return t if t.version() is not None else VersionedTable(spark, root, c.primary_keys, cfg.num_buckets)
-
-
-def state_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: DataFrame, soft: bool) -> VersionedTable:
-    t = open_table(spark, cfg, cfg.table_root(sink, c), c)
-    if t.version() is None:
-        empty = template.where(F.lit(False))
-        if soft:
-            empty = empty.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz"))
-        t.create(empty.schema)
-    return t
-
-
-def scd2_table(spark, cfg: JobConfig, sink: str, c: TableContract, template: DataFrame) -> VersionedTable:
-    t = open_table(spark, cfg, cfg.table_root(sink + "_scd2", c), c)
-    if t.version() is None:
-        cols = template.select(*c.primary_keys, *c.attribute_columns).where(F.lit(False))
-        t.create(open_versions(cols, F.lit(None)).schema)
-    return t
+def stored_table(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> VersionedTable:
+    return VersionedTable(spark, cfg.table_root(f"{sink}_scd2" if _keeps_history(cfg, sink, c) else sink, c), c.primary_keys)
 
 
 def _keeps_history(cfg: JobConfig, sink: str, c: TableContract) -> bool:
     return sink == "warehouse" and c.scd2 and sink not in cfg.extra_sinks
 
 
-def _apply_scd2(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, cast: DataFrame,
-                batch_id: str) -> tuple[int, int]:
-    """History of the table; late changes that it does not hold go to the
-    quarantine. Returns the applied upserts and deletes: neither replays nor
-    late changes count."""
-    keys, attrs, order_cols = list(c.primary_keys), list(c.attribute_columns), ["_ts_ms", "_file_seq", "_pos"]
-    t = scd2_table(spark, cfg, sink, c, typed)
-    eff, order, gone = ms_to_ntz("_ts_ms"), F.struct(*order_cols), F.col("_op") == "d"
-    counts, persisted = [], []
+def _apply_history(spark, cfg: JobConfig, sink: str, c: TableContract, changes: DataFrame, batch_id: str) -> tuple[int, int]:
+    """All changes of the batch into the history. Returns the upserts and deletes that
+    are new to it: replayed ones stay with the batch that brought them first."""
+    keys, attrs, mark = list(c.primary_keys), list(c.attribute_columns), f"{cfg.job_name}/{batch_id}"
+    staged = changes.withColumn("_batch", F.lit(mark))
+    t = stored_table(spark, cfg, sink, c)
+    if t.version() is None:
+        t.create(empty_points(staged).schema)
 
-    def fn(target, staged):
-        target = with_marks(extend_columns(target, staged.select(*keys, *attrs)), staged, order)
-        marked = scd2_in_order(target, staged, keys, eff, order).persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(marked)
-        n = marked.agg(*[F.count(F.when(w, 1)) for w in (~F.col("_late") & ~gone, ~F.col("_late") & gone, F.col("_late"))]).first()
-        counts.append((n[0], n[1]))
-        if n[2]:
-            late = scd2_unheld(target, marked.filter("_late").drop("_late"), keys, attrs, eff, order, gone)
-            # written before the merge commits: a replay of the batch finds the same ones
-            lines = late.select(*[F.col(k).alias(f"_l_{k}") for k in [*keys, *order_cols]])
-            same = [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in [*keys, *order_cols]]
-            lines = cast.filter(F.col("reason").isNull()).dropDuplicates([*keys, *order_cols]).join(lines, same, "left_semi")
-            lines.select(F.lit("late_change").alias("reason"), "raw").write.mode("append").partitionBy("reason") \
-                .parquet(cfg.quarantine_path(batch_id))
-        return scd2_merge(target, marked.filter(~F.col("_late")), keys, attrs, eff, gone, order)
+    def fn(points, staged):
+        grown = any(a not in points.columns for a in attrs)
+        points = extend_columns(promote(points, c), staged)
+        lost = [f for f in points.schema.fields if f.name not in staged.columns and f.name not in SCD2_COLUMNS]
+        staged = staged.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lost])
+        return scd2_apply(points, staged, keys, attrs, everything=grown)
 
-    try:
-        t.merge(typed, fn)
-    finally:
-        for p in persisted:
-            p.unpersist()
-    return counts[0]
+    t.merge(staged, fn)
+    gone = F.col("_op") == "d"
+    return tuple(t.read().filter(F.col("_batch") == mark).agg(F.count(F.when(~gone, 1)), F.count(F.when(gone, 1))).first())
 
 
-def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, batch_id: str) -> None:
+def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, batch_id: str, newest_ms: int | None) -> None:
     keys = list(c.primary_keys)
     if sink in cfg.extra_sinks:
         cfg.extra_sinks[sink](spark, c, typed, batch_id)
@@ -158,107 +130,167 @@ def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataF
     if sink not in SINKS:
         raise ValueError(f"{c.fqn} names a sink that nobody provides: {sink}")
     if sink == "search":
-        deleted = F.col("_op") == "d"
-        acts = search_actions(typed, c, deleted=deleted, deleted_at=ms_to_ntz("_ts_ms"))
+        acts = search_actions(typed, c, deleted=F.col("_op") == "d", deleted_at=ms_to_ntz("_ts_ms"), version=document_version())
         write_bulk(acts, f"{cfg.table_root(sink, c)}/{index_name(c)}/{cfg.batch_folder(batch_id)}")
         return
     # warehouse (upsert) and row store: current state with tombstones and
     # the order guard; the row store ignores scd2 and updates column by column
-    t = state_table(spark, cfg, sink, c, typed, c.soft_delete)
-    t.merge(typed, lambda target, staged: apply_changes(
-        target, staged, keys, soft_delete=c.soft_delete, column_wise=sink == "rowstore"))
+    t = stored_table(spark, cfg, sink, c)
+    if t.version() is None:
+        empty = typed.where(F.lit(False))
+        t.create((empty.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz")) if c.soft_delete else empty).schema)
+
+    def fn(target, staged):
+        out = apply_changes(promote(target, c), staged, keys, soft_delete=c.soft_delete, column_wise=sink == "rowstore")
+        if cfg.tombstone_days is None or c.soft_delete or newest_ms is None:
+            return out
+        return expire_tombstones(out, newest_ms - cfg.tombstone_days * DAY_MS)
 
+    t.merge(typed, fn)
 
-def _conflict_reason(c: TableContract):
-    """Q3: ``key_conflict`` when a key value does not cast (or is NULL), else
-    ``schema_conflict`` when another value does not; NULL when all do."""
+
+def _reason(c: TableContract):
+    """Q1/Q3: ``key_conflict`` when a key value does not cast (or is NULL), ``schema_conflict``
+    when another value does not, ``rule_violation`` when a rule is broken; NULL when all is well."""
     no_key = F.lit(False)
     for k in c.primary_keys:
         no_key = no_key | F.col(k).isNull()
-    return F.when(no_key, "key_conflict").when(F.size("_schema_conflict") > 0, "schema_conflict")
+    return F.when(no_key, "key_conflict").when(F.size("_schema_conflict") > 0, "schema_conflict") \
+        .when(F.size(VIOLATIONS) > 0, "rule_violation")
+
+
+def _parents_first(contracts: list[TableContract]) -> list[TableContract]:
+    """Tables after those that their foreign keys point to, so that a row whose parent
+    comes in the same batch finds it stored."""
+    by_name, done = {c.fqn: c for c in contracts}, {}
+
+    def visit(c: TableContract) -> None:
+        if c.fqn not in done:
+            done[c.fqn] = c
+            for r in c.rules:
+                if r.kind == "fk" and r.parent in by_name and r.parent not in done:
+                    visit(by_name[r.parent])
+            done[c.fqn] = done.pop(c.fqn)  # behind its parents
+
+    for c in sorted(contracts, key=lambda c: c.fqn):
+        visit(c)
+    return list(done.values())
+
+
+def _write_quarantine(bad: DataFrame, n_bad: int, cfg: JobConfig, batch_id: str, part: str) -> None:
+    """One folder per job, batch and part: a retry replaces what it quarantined before."""
+    path = f"{cfg.quarantine_root}/{cfg.batch_folder(batch_id)}/part={quote(part, safe='')}"
+    if n_bad:
+        fs.for_partitioned_write(bad.select("reason", "detail", "raw"), "reason").write.mode("overwrite").partitionBy("reason").parquet(path)
+    else:
+        fs.delete(bad.sparkSession, path)
+
+
+def _report_drift(cast: DataFrame, cfg: JobConfig, batch_id: str, c: TableContract) -> None:
+    """Q2: the columns that the contract does not name, with the changes that hold them."""
+    names = cast.select(F.explode(F.map_keys(EXTRA)).alias("column_name")).groupBy("column_name").agg(F.count("*").alias("n_events"))
+    names.coalesce(1).write.mode("overwrite").parquet(f"{cfg.drift_root}/{cfg.batch_folder(batch_id)}/table={quote(c.fqn, safe='')}")
 
 
 def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig,
                   raise_on_error: bool = False) -> DataFrame:
-    """Apply one batch of raw JSON lines (column ``value``); returns write results."""
-    ledger = _read_ledger(spark, cfg)
+    """Apply one batch of raw JSON lines (column ``value``); returns write results.
+
+    A batch that is done returns none (J12). One that another run holds raises
+    ``BatchClaimed`` (L2).
+    """
     batch = spark.createDataFrame([(cfg.job_name, batch_id)], "job_name string, batch_id string")
-    if not L.pending_batches(batch, ledger).take(1):
-        return spark.createDataFrame([], WRITE_RESULT)  # J12: already SUCCESS
-    started = L.in_memory(L.start_marks(batch, ledger, F.current_timestamp()))  # one row
-    started.write.mode("append").parquet(cfg.ledger_root)
+    marks = L.start_marks(batch, read_ledger(spark, cfg.ledger_root), F.current_timestamp()).collect()  # one row or none
+    if not marks:
+        return spark.createDataFrame([], WRITE_RESULT)
+    mark = marks[0].asDict() | {"attempt": claim(spark, cfg.claim_folder(batch_id), marks[0].attempt, cfg.lease_seconds)}
+    started = spark.createDataFrame([tuple(mark[n] for n in LEDGER.names)], LEDGER)
+
+    def finish(rows: int | None, error: str | None) -> None:
+        done = L.finish_marks(started, F.current_timestamp(), F.lit(rows), None if error is None else F.lit(error))
+        append_marks(started.unionByName(done), cfg.ledger_root)
+
+    try:
+        results = _apply_batch(spark, lines, batch_id, cfg)
+    except Exception as e:
+        finish(None, f"{type(e).__name__}: {e}")
+        raise
+    errors = [e for r in results for e in r[4]]
+    finish(sum(r[2] + r[3] for r in results), "; ".join(errors) if errors else None)
+    if errors and raise_on_error:
+        raise SinkError("; ".join(errors))
+    return spark.createDataFrame(results, WRITE_RESULT)
 
+
+def _apply_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig) -> list[tuple]:
     contracts = contract_table(spark, cfg.registry.values())
     classified = classify(parse_change_lines(split_glued(lines)), contracts).persist(StorageLevel.MEMORY_AND_DISK)
     results, persisted = [], [classified]
     try:
-        bad = classified.filter(F.col("reason").isNotNull()).select("reason", "raw")
-        good = classified.filter(F.col("reason").isNull())
-        present = [(r[0], r[1]) for r in good.select(
-            F.col("payload.source.db"), F.col("payload.source.table")).distinct().collect()]  # ≤ #contracts
-        tables = {}
-        for db, table in sorted(present):
-            c = cfg.registry[f"{db}.{table}"]
-            rows = good.filter((F.col("payload.source.db") == db) & (F.col("payload.source.table") == table))
-            flat = flatten_envelope(rows, c.primary_keys, keep=["raw"])
-            cast = typed_changes(flat, c, cfg.renames.get(c.fqn), with_conflicts=True, keep=["raw"])
-            cast = cast.withColumn("reason", _conflict_reason(c)).persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(cast)
-            bad = bad.unionByName(cast.filter(F.col("reason").isNotNull()).select("reason", "raw"))
-            tables[c.fqn] = c, flat.drop("raw"), cast
-        # one folder per job and batch: a retry replaces what it quarantined before
-        fs.for_partitioned_write(bad, "reason").write.mode("overwrite").partitionBy("reason") \
-            .parquet(cfg.quarantine_path(batch_id))
-        # the silver append and the sinks of a table are independent jobs: they
-        # run concurrently (one driver thread each) so small jobs share the
-        # executors; silver appends to the one silver root stay one at a time
+        ok, source = F.col("reason").isNull(), F.col("payload.source")
+        counted = classified.groupBy(F.when(ok, source["db"]).alias("db"), F.when(ok, source["table"]).alias("table")).count().collect()  # tables + 1
+        n_bad = sum(r["count"] for r in counted if r.db is None)
+        _write_quarantine(classified.filter(~ok).withColumn("detail", F.lit(None).cast("string")), n_bad, cfg, batch_id, "lines")
+        present = _parents_first([cfg.registry[f"{r.db}.{r.table}"] for r in counted if r.db is not None])
+
+        def stored(fqn: str) -> DataFrame | None:
+            parent = cfg.registry.get(fqn)
+            for sink in parent.sinks if parent else ():
+                if sink in ("warehouse", "rowstore") and stored_table(spark, cfg, sink, parent).version() is not None:
+                    return read_current(spark, cfg, sink, parent)
+            return None
+
+        # the silver append and the sinks of a table are independent jobs: they run concurrently
+        # (one driver thread each) so small jobs share the executors
         with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
-            for c, flat, cast in tables.values():
-                silver = pool.submit(append_silver, flat, cfg.silver_root)
-                good_rows = cast.filter(F.col("reason").isNull()).drop("reason", "raw", "_schema_conflict")
-                typed = latest_typed_per_key(good_rows, c).persist(StorageLevel.MEMORY_AND_DISK)
+            for c in present:
+                rows = classified.filter(ok & (source["db"] == c.db_name) & (source["table"] == c.table_name))
+                flat = flatten_envelope(rows, c.primary_keys, keep=["raw"])
+                cast = typed_changes(split_key_changes(flat, c), c, cfg.renames.get(c.fqn), with_conflicts=True, keep=["raw"], with_extra=cfg.keep_unknown)
+                cast = with_contract_rules(cast, c, stored).withColumn("reason", _reason(c)) \
+                    .withColumn("detail", F.nullif(F.array_join(F.concat("_schema_conflict", VIOLATIONS), ","), F.lit(""))).persist(StorageLevel.MEMORY_AND_DISK)
+                persisted.append(cast)
+                extra = F.col(EXTRA).isNotNull() if cfg.keep_unknown else F.lit(False)
+                n_bad, n_extra = cast.agg(F.count("reason"), F.count(F.when(extra, 1))).first()
+                _write_quarantine(cast.filter(F.col("reason").isNotNull()), n_bad, cfg, batch_id, c.fqn)
+                if n_extra:
+                    _report_drift(cast, cfg, batch_id, c)
+                silver = pool.submit(append_silver, flat.drop("raw"), cfg.silver_root)
+                changes = cast.filter(ok).drop("reason", "detail", "raw", "_schema_conflict", VIOLATIONS)
+                typed = latest_typed_per_key(changes, c).persist(StorageLevel.MEMORY_AND_DISK)
                 persisted.append(typed)
-                counts = typed.agg(
-                    F.sum(F.when(F.col("_op") != "d", 1).otherwise(0)).alias("u"),
-                    F.sum(F.when(F.col("_op") == "d", 1).otherwise(0)).alias("d"),
-                ).first()  # one row
-                jobs = [(sink, pool.submit(_apply_scd2, spark, cfg, sink, c, typed, cast, batch_id) if _keeps_history(cfg, sink, c)
-                         else pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id))
+                gone = F.col("_op") == "d"
+                up, down, newest = typed.agg(F.count(F.when(~gone, 1)), F.count(F.when(gone, 1)), F.max("_ts_ms")).first()
+                jobs = [(sink, pool.submit(_apply_history, spark, cfg, sink, c, changes, batch_id) if _keeps_history(cfg, sink, c)
+                         else pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id, newest))
                         for sink in c.sinks if sink in cfg.enabled_sinks or sink in cfg.extra_sinks]
                 for sink, job in jobs:
                     try:
-                        done = job.result() or (counts["u"], counts["d"])
-                        results.append((sink, c.fqn, int(done[0] or 0), int(done[1] or 0), []))
+                        results.append((sink, c.fqn, *(job.result() or (up, down)), []))
                     except Exception as e:  # noqa: BLE001 - sinks fail independently
                         results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"]))
                 silver.result()  # a failed silver append fails the batch
-        errors = [e for r in results for e in r[4]]
-        total = sum(r[2] + r[3] for r in results)
-        err = F.lit("; ".join(errors)) if errors else None
-        L.finish_marks(started, F.current_timestamp(), F.lit(total), err).write.mode("append").parquet(cfg.ledger_root)
-        if errors and raise_on_error:
-            raise SinkError("; ".join(errors))
-    except SinkError:
-        raise
-    except Exception as e:
-        L.finish_marks(started, F.current_timestamp(), None, F.lit(f"{type(e).__name__}: {e}")) \
-            .write.mode("append").parquet(cfg.ledger_root)
-        raise
     finally:
         for p in persisted:
             p.unpersist()
-    return spark.createDataFrame(results, WRITE_RESULT)
+    return results
 
 
 def read_current(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> DataFrame:
-    """Readers' view of a current-state sink table."""
-    from rowtide.operators.merge import visible
-
-    t = VersionedTable(spark, cfg.table_root(sink, c), c.primary_keys)
-    return visible(t.read(), soft_delete=c.soft_delete)
+    """Readers' view of the current rows of a stored table."""
+    if _keeps_history(cfg, sink, c):
+        return read_scd2(spark, cfg, sink, c).filter("is_current").drop(*SCD2_COLUMNS)
+    return visible(stored_table(spark, cfg, sink, c).read(), soft_delete=c.soft_delete)
 
 
 def read_scd2(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> DataFrame:
-    """Readers' view of a history: its versions, without the order keys."""
-    t = VersionedTable(spark, cfg.table_root(sink + "_scd2", c), c.primary_keys)
-    return t.read().filter(F.col("valid_from").isNotNull()).drop(*MARKS)
+    """Readers' view of a history: its versions."""
+    return versions(stored_table(spark, cfg, sink, c).read(), c.primary_keys, c.attribute_columns)
+
+
+def read_drift(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """Columns that batches brought and no contract named: job, batch, table, column, changes."""
+    schema = "column_name string, n_events long, job_name string, batch_id string, table string"
+    if not fs.exists(spark, cfg.drift_root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(cfg.drift_root)

@@ -9,9 +9,7 @@ from rowtide.operators.envelope import (
     current_state,
     latest_change_per_key,
     latest_per_key,
-    map_to_columns,
-    cast_to_contract,
-    route_by_op,
+    typed_changes,
 )
 from rowtide.plans.common import LINEITEM, ORDERS, USERS, flat_events, with_flat
 from rowtide.plans.registry import query
@@ -85,11 +83,10 @@ SELECT db_name, table_name, op, ts_ms, source_ts_ms, is_snapshot, pk_hash,
 FROM flat WHERE op IN ('c', 'u', 'r')
 """))
 def q_route_upserts(spark, sf_dir):
-    routed = route_by_op(flat_events(spark, sf_dir))
-    cols = map_to_columns(routed.upserts, USERS.columns)
-    typed = cast_to_contract(cols, USERS)
-    return typed.select("db_name", "table_name", "op", "ts_ms", "source_ts_ms", "is_snapshot", "pk_hash",
-                        *USERS.columns)
+    """The upserts of the log as typed rows."""
+    meta = ["db_name", "table_name", "op", "ts_ms", "source_ts_ms", "is_snapshot", "pk_hash"]
+    typed = typed_changes(flat_events(spark, sf_dir), USERS, keep=meta)
+    return typed.filter(F.col("_op") != "d").select(*meta, *USERS.columns)
 
 
 @query("route_deletes", with_flat("""
@@ -97,9 +94,10 @@ SELECT db_name, table_name, ts_ms, source_ts_ms, pk_hash, user_id
 FROM flat WHERE op = 'd'
 """))
 def q_route_deletes(spark, sf_dir):
-    routed = route_by_op(flat_events(spark, sf_dir))
-    keys = cast_to_contract(map_to_columns(routed.deletes, USERS.primary_keys), USERS)
-    return keys.select("db_name", "table_name", "ts_ms", "source_ts_ms", "pk_hash", *USERS.primary_keys)
+    """The deletes of the log, with the key of the row as it was."""
+    meta = ["db_name", "table_name", "ts_ms", "source_ts_ms", "pk_hash"]
+    typed = typed_changes(flat_events(spark, sf_dir), USERS, keep=meta)
+    return typed.filter(F.col("_op") == "d").select(*meta, *USERS.primary_keys)
 
 
 @query("pk_hash", """

@@ -13,7 +13,7 @@ from rowtide.operators import quality as Q
 from rowtide.operators.envelope import current_state, flatten_envelope, latest_change_per_key
 from rowtide.plans.common import BATCH_SPLIT, LINEITEM, ORDERS, USERS, flat_events, with_flat
 from rowtide.plans.registry import query
-from rowtide.functions.time import hour_bucket, ntz_to_ms, trunc_ntz
+from rowtide.functions.time import hour_bucket, ms_to_ntz, ntz_to_ms, trunc_ntz
 from rowtide.sources.changelog import parse_change_lines
 from rowtide.sources.fixtures import dirty_event_lines, hourly_batches, ledger_rows, load, snapshot_payloads, spread
 
@@ -219,6 +219,30 @@ def q_lag_p95(spark, sf_dir):
     return M.lag_percentiles(f, ["db_name", "table_name", "period"])
 
 
+# Fixed value: ranks of the sketch's quantiles may be off by so much.
+SKETCH_RANK_ERROR = 0.01
+
+
+@query("lag_sketch", with_flat("""
+SELECT db_name, table_name, date_trunc('day', make_timestamp(ts_ms * 1000)) AS period, count(*) AS n_events, true AS p50_in_bound, true AS p95_in_bound
+FROM flat GROUP BY 1, 2, 3
+"""))
+def q_lag_sketch(spark, sf_dir):
+    """Five-minute sketches merged into days; the exact ranks of their quantiles lie within the bound."""
+    f = flat_events(spark, sf_dir).withColumn("period", trunc_ntz("day", ms_to_ntz("ts_ms")))
+    days = M.merged_sketches(M.lag_sketches(f), trunc_ntz("day", "window_start"))
+    by = ["db_name", "table_name", "period"]
+    lag, joined = M.lag_ms(f), f.join(days.drop("sketch"), by)
+
+    def in_bound(q, p):
+        # the share of lags below the estimate, and of those up to it, must enclose the rank
+        below, upto = (F.avg(c.cast("double")) for c in (lag < F.col(p), lag <= F.col(p)))
+        return (below - SKETCH_RANK_ERROR <= q) & (upto + SKETCH_RANK_ERROR >= q)
+
+    return joined.groupBy(*by).agg(F.first("n_events").alias("n_events"), in_bound(0.5, "p50_lag_ms").alias("p50_in_bound"),
+                                   in_bound(0.95, "p95_lag_ms").alias("p95_in_bound"))
+
+
 # Fixed value of the alarm fixture: hourly p95 lag above 4 minutes is a breach.
 BREACH_MS = 240_000
 
@@ -314,3 +338,42 @@ FROM ledger WHERE status IN ('SUCCESS', 'FAILED') GROUP BY 1
 """)
 def q_success_rate(spark, sf_dir):
     return L.success_rate(_ledger(spark, sf_dir)[1], trunc_ntz("day", "started_at"))
+
+
+# Alarm when under 98 % of runs succeed over 24 hours, or over 1 % of lines are quarantined in an hour.
+SUCCESS_FLOOR, QUARANTINE_CEILING = 0.98, 0.01
+
+
+@query("success_24h", SQL_LEDGER + f""",
+hourly AS (
+  SELECT job_name, date_trunc('hour', started_at) AS period, count(*) AS runs, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded
+  FROM ledger WHERE status IN ('SUCCESS', 'FAILED') GROUP BY 1, 2
+)
+SELECT job_name, CAST(period AS TIMESTAMP) AS period, CAST(sum(succeeded) OVER w AS BIGINT) AS succeeded_24h, CAST(sum(runs) OVER w AS BIGINT) AS runs_24h,
+  sum(succeeded) OVER w / sum(runs) OVER w AS success_rate, sum(succeeded) OVER w / sum(runs) OVER w < {SUCCESS_FLOOR} AS alarm
+FROM hourly WINDOW w AS (PARTITION BY job_name ORDER BY period RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW)
+""")
+def q_success_24h(spark, sf_dir):
+    """A7 with its alarm: the share of runs of the last 24 hours that succeeded, each hour."""
+    hourly = L.success_rate(_ledger(spark, sf_dir)[1], trunc_ntz("hour", "started_at"), by=["job_name"])
+    out = M.rolling(hourly, ["job_name"], "period", 60, 24, "succeeded", "runs")
+    return out.select("job_name", "period", F.col("succeeded_sum").alias("succeeded_24h"), F.col("runs_sum").alias("runs_24h"),
+                      F.col("rate").alias("success_rate"), (F.col("rate") < SUCCESS_FLOOR).alias("alarm"))
+
+
+@query("quarantine_1h", f"""
+WITH series AS (
+  SELECT time_bucket(INTERVAL '5 minutes', ts) AS period, count(*) AS n, count(*) FILTER (WHERE {_SQL_REASON} IS NOT NULL) AS q FROM events GROUP BY 1
+)
+SELECT period, CAST(sum(q) OVER w AS BIGINT) AS n_quarantined_1h, CAST(sum(n) OVER w AS BIGINT) AS n_lines_1h,
+  sum(q) OVER w / sum(n) OVER w AS quarantine_rate, sum(q) OVER w / sum(n) OVER w > {QUARANTINE_CEILING} AS alarm
+FROM series WINDOW w AS (ORDER BY period RANGE BETWEEN INTERVAL 55 MINUTE PRECEDING AND CURRENT ROW)
+""")
+def q_quarantine_1h(spark, sf_dir):
+    """A8 with its alarm: the share of lines of the last hour that were quarantined, every five minutes."""
+    ev = spread(load(spark, sf_dir, "events"))
+    lines = dirty_event_lines(ev, keep=[F.window("ts", "5 minutes")["start"].alias("landed")])
+    series = M.quarantine_rate(Q.classify(parse_change_lines(lines), contract_table(spark)), F.col("landed")).withColumn("feed", F.lit("all"))
+    out = M.rolling(series, ["feed"], "period", 5, 12, "n_quarantined", "n_lines")
+    return out.select("period", F.col("n_quarantined_sum").alias("n_quarantined_1h"), F.col("n_lines_sum").alias("n_lines_1h"),
+                      F.col("rate").alias("quarantine_rate"), (F.col("rate") > QUARANTINE_CEILING).alias("alarm"))

@@ -30,9 +30,6 @@ PAYLOAD = T.StructType(
     ]
 )
 
-# The wrapped form {"payload": {...}} (converter schemas on) is the main one.
-ENVELOPE = T.StructType([T.StructField("payload", PAYLOAD)])
-
 CORRUPT_COLUMN = "_corrupt_record"
 
 # One parse schema for both shapes: wrapped, and bare (converter schemas
@@ -43,20 +40,6 @@ PARSE_SCHEMA = T.StructType(
     + [T.StructField(CORRUPT_COLUMN, T.StringType())]
 )
 
-FLAT_COLUMNS = (
-    "db_name",
-    "table_name",
-    "op",
-    "ts_ms",
-    "source_ts_ms",
-    "is_snapshot",
-    "binlog_file",
-    "binlog_pos",
-    "before",
-    "after",
-    "pk_hash",
-)
-
 VALID_OPS = ("c", "u", "d", "r")
 UPSERT_OPS = ("c", "u", "r")
 DELETE_OP = "d"

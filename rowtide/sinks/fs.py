@@ -6,6 +6,9 @@ always moves through Spark readers and writers.
 
 from __future__ import annotations
 
+import time
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,6 +52,22 @@ def create_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fal
         out.close()
 
 
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already."""
+    try:
+        create_text(spark, path, text, overwrite=False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()) or exists(spark, path):
+            return False
+        raise
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    fs, p = _fs(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm

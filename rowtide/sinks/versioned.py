@@ -1,20 +1,21 @@
-"""K2/K3: a versioned, key-bucketed Parquet table with atomic commits.
+"""K2/K3: a table as complete states, each in a directory of its own, and pointers.
 
 Layout::
 
-    root/data/_version=<version>-<attempt>/_bucket=<b>/part-*.parquet
-    root/_manifests/<version:012d>.json   {bucket: data dir, schema, keys, num_buckets}
-
-Rows live in bucket ``pmod(xxhash64(keys), num_buckets)``. A merge reads
-only the buckets its batch touches, writes those buckets as a new version
-and commits by creating the next manifest (create fails if it exists, so
-concurrent writers cannot both commit the same version). Untouched buckets
-are carried over by reference, so a 15-minute batch rewrites the buckets it
-touches, not the table. Every attempt writes a directory of its own, so a
-writer that loses the commit leaves an unreferenced directory and never
-touches a committed one. The bucket count belongs to the table: it is taken
-from the manifest and a caller that names another one is refused. Columns
-that a merge adds are NULL in the rows written before.
+    root/state-<id>/part-*.parquet     one complete state, as Spark wrote it
+    root/_states/<n:012d>.json         the n-th state: its directory and schema
+
+A merge reads the current state, writes the next one with the DataFrame writer
+and then creates pointer n+1; creating a pointer that exists is an error, so of
+two writers that started from one state the second fails and is replayed.
+Readers see the old state or the new one. A state is never changed once it has a
+pointer; a writer that fails leaves a directory that nobody names. The
+states before the last ``KEPT`` ones are deleted after a commit, so readers have that
+many commits to finish. Columns that a merge adds are NULL in older rows
+unless the merge fills them.
+
+Creating a pointer must be exclusive: HDFS, local and most cloud file systems do
+that; a store without it needs a table format with a catalog instead.
 """
 
 from __future__ import annotations
@@ -23,103 +24,66 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rowtide.sinks import fs
 
-BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+KEPT = 3
 
 
-def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
+        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
 
+    def _pointers(self) -> list[str]:
+        return [n for n in fs.list_names(self.spark, f"{self.root}/_states") if n.endswith(".json")]
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keys = list(keys)
-        m = self.manifest()
-        if m is not None and num_buckets not in (None, m["num_buckets"]):
-            raise ValueError(f"{self.root} has {m['num_buckets']} buckets, not {num_buckets}")
-        self.num_buckets = m["num_buckets"] if m is not None else num_buckets or DEFAULT_BUCKETS
-
-    # -- metadata ----------------------------------------------------------------
-    def _manifest_dir(self) -> str:
-        return f"{self.root}/_manifests"
+    def _pointer(self, name: str) -> dict:
+        return json.loads(fs.read_text(self.spark, f"{self.root}/_states/{name}"))
 
     def version(self) -> int | None:
-        names = [n for n in fs.list_names(self.spark, self._manifest_dir()) if n.endswith(".json")]
+        names = self._pointers()
         return int(names[-1].split(".")[0]) if names else None
 
-    def manifest(self) -> dict | None:
-        v = self.version()
-        if v is None:
-            return None
-        return json.loads(fs.read_text(self.spark, f"{self._manifest_dir()}/{v:012d}.json"))
-
-    # -- reads ---------------------------------------------------------------------
-    def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/{d}" for d in dirs])
-        return df.select(*[F.col(f.name) for f in schema.fields])
-
     def read(self) -> DataFrame:
-        m = self.manifest()
-        if m is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self._read_dirs(list(m["buckets"].values()), T.StructType.fromJson(m["schema"]))
-
-    def _read_buckets(self, m: dict, buckets: Sequence[int]) -> DataFrame:
-        dirs = [m["buckets"][str(b)] for b in buckets if str(b) in m["buckets"]]
-        return self._read_dirs(dirs, T.StructType.fromJson(m["schema"]))
-
-    # -- writes --------------------------------------------------------------------
-    def _write_version(self, rows: DataFrame, version: int) -> dict[str, str]:
-        """Write the rows into a fresh directory; bucket → data directory."""
-        folder = f"data/_version={version}-{uuid.uuid4().hex[:12]}"
-        out = f"{self.root}/{folder}"
-        fs.for_partitioned_write(rows.withColumn(BUCKET, bucket_of(self.keys, self.num_buckets)), BUCKET) \
-            .write.partitionBy(BUCKET).parquet(out)
-        return {name.split("=", 1)[1]: f"{folder}/{name}" for name in fs.list_names(self.spark, out)
-                if name.startswith(f"{BUCKET}=")}
-
-    def _commit(self, version: int, buckets: dict[str, str], schema: T.StructType) -> int:
-        body = json.dumps({"version": version, "keys": self.keys, "num_buckets": self.num_buckets,
-                           "schema": json.loads(schema.json()), "buckets": buckets}, sort_keys=True)
-        fs.create_text(self.spark, f"{self._manifest_dir()}/{version:012d}.json", body, overwrite=False)
+        names = self._pointers()
+        if not names:
+            raise FileNotFoundError(f"no state under {self.root}")
+        p = self._pointer(names[-1])
+        schema = T.StructType.fromJson(p["schema"])
+        if p["state"] is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{p['state']}")
+
+    def _commit(self, version: int, state: str | None, schema: T.StructType) -> int:
+        body = json.dumps({"state": state, "schema": json.loads(schema.json())})
+        fs.create_text(self.spark, f"{self.root}/_states/{version:012d}.json", body, overwrite=False)
+        for name in self._pointers()[:-KEPT]:
+            old = self._pointer(name)["state"]
+            if old is not None:
+                fs.delete(self.spark, f"{self.root}/{old}")
+            fs.delete(self.spark, f"{self.root}/_states/{name}")
         return version
 
+    def _write(self, rows: DataFrame) -> str:
+        state = f"state-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{self.root}/{state}")
+        return state
+
     def create(self, schema: T.StructType) -> int:
-        """Commit an empty first version: a manifest with the schema, no data."""
-        return self._commit((self.version() or 0) + 1, {}, schema)
+        """An empty first state: a pointer with the schema, no data."""
+        return self._commit((self.version() or 0) + 1, None, schema)
 
     def overwrite(self, rows: DataFrame) -> int:
-        """Write ``rows`` as a complete new version."""
+        """``rows`` as the next state."""
         v = (self.version() or 0) + 1
-        return self._commit(v, self._write_version(rows, v), rows.schema)
+        return self._commit(v, self._write(rows), rows.schema)
 
     def merge(self, staged: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
-        """Rewrite the buckets touched by ``staged`` with ``fn(target_part, staged)``.
-
-        The touched-bucket list is at most ``num_buckets`` integers. ``fn`` may
-        return columns that the table does not have yet; they are added.
-        """
-        m = self.manifest()
-        if m is None:
-            raise FileNotFoundError(f"no committed version under {self.root}; overwrite() first")
-        schema = T.StructType.fromJson(m["schema"])
-        touched = sorted(
-            r[0] for r in staged.select(bucket_of(self.keys, self.num_buckets).alias("b")).distinct().collect()
-        )
-        rows = fn(self._read_buckets(m, touched), staged)
-        added = [f for f in rows.schema.fields if f.name not in schema.names]
-        schema = T.StructType([*schema.fields, *[T.StructField(f.name, f.dataType, True) for f in added]])
-        v = m["version"] + 1
-        written = self._write_version(rows.select(*schema.names), v)
-        buckets = {b: d for b, d in m["buckets"].items() if int(b) not in touched} | written
-        return self._commit(v, buckets, schema)
+        """``fn(current, staged)`` as the next state; ``fn`` may add columns."""
+        v = self.version()
+        if v is None:
+            raise FileNotFoundError(f"no state under {self.root}; overwrite() first")
+        rows = fn(self.read(), staged)
+        return self._commit(v + 1, self._write(rows), rows.schema)

@@ -137,18 +137,19 @@ def dirty_event_lines(events: DataFrame, keep=()) -> DataFrame:
     """
     pay = event_payload()
     v = F.col("value")
-    pay = F.when((v >= 3) & (v < 4), pay.withField("op", F.lit("t"))).otherwise(pay)
-    pay = F.when((v >= 4) & (v < 5), pay.withField("source.table", F.lit("sessions"))).otherwise(pay)
-    wrapped = F.to_json(F.struct(pay.alias("payload")))
-    bare = F.to_json(pay)
+    # behind generators the payload and its text are made once per event, however often they are used
+    made = F.col("_p")
+    made = F.when((v >= 3) & (v < 4), made.withField("op", F.lit("t"))) \
+        .when((v >= 4) & (v < 5), made.withField("source.table", F.lit("sessions"))).otherwise(made)
+    both = F.array(F.struct(F.to_json(F.struct(made.alias("payload"))).alias("_w"), F.to_json(made).alias("_b")))
     cut = F.expr("substring(_w, 1, cast(length(_w) / 2 as int))")
     line = (
         F.when(v < 1, cut)
-        .when(v < 2, bare)
+        .when(v < 2, F.col("_b"))
         .when(v < 3, F.to_json(F.struct(F.col("event_id").alias("heartbeat"))))
         .otherwise(F.col("_w"))
     )
-    return events.withColumn("_w", wrapped).select(line.alias("value"), *keep)
+    return events.select("*", F.explode(F.array(pay)).alias("_p")).select("*", F.inline(both)).select(line.alias("value"), *keep)
 
 
 # Fixed values of the ledger fixture: job name, failure rule, timings.

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,9 @@ def land_lines(lines: DataFrame, root: str, errors_root: str, mode: str = "appen
     """Write raw lines partitioned by db/table/dt/hour; the rest to errors.
 
     Records glued on one line are split first, so each lands in its own
-    table. Rows are clustered by partition before the write.
+    table. Lines are parsed once for both writes. Rows are clustered by partition before the write.
     """
-    r = routing_columns(parse_change_lines(split_glued(lines)))
+    r = routing_columns(parse_change_lines(split_glued(lines))).persist(StorageLevel.MEMORY_AND_DISK)
     routable = (
         F.col("_corrupt_record").isNull() & F.col("db_name").isNotNull() & F.col("table_name").isNotNull()
         & F.col("dt").isNotNull()
@@ -50,8 +51,11 @@ def land_lines(lines: DataFrame, root: str, errors_root: str, mode: str = "appen
         F.col("raw").alias("value"),
         F.when(F.col("_corrupt_record").isNotNull(), "malformed_json").otherwise("unroutable").alias("reason"),
     )
-    fs.for_partitioned_write(good, *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root)
-    fs.for_partitioned_write(bad, "reason").write.mode(mode).partitionBy("reason").text(errors_root)
+    try:
+        fs.for_partitioned_write(good, *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root)
+        fs.for_partitioned_write(bad, "reason").write.mode(mode).partitionBy("reason").text(errors_root)
+    finally:
+        r.unpersist()
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:

@@ -16,6 +16,7 @@ Checkpoints live under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ def run_to_tables(spark: SparkSession, source: str, cfg: JobConfig, checkpoint:
                   processing_time: str | None = None):
     """Apply every new file to the sink tables; returns the query handle."""
     lines = change_line_stream(spark, source, max_files_per_trigger)
+    cfg = replace(cfg, lease_seconds=0)  # the checkpoint admits one run, so what an earlier one holds is left over
     stream_id = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
@@ -73,6 +75,20 @@ def windowed_stream_counts(flat_stream: DataFrame, every: str = "5 minutes", del
     )
 
 
+def stream_alarms(flat_stream: DataFrame, threshold_ms: int, every: str = "5 minutes", span: str = "15 minutes", periods: int = 3, delay: str = "10 minutes") -> DataFrame:
+    """T5 + A9: an alarm when the mean lag of ``periods`` consecutive windows is above the threshold.
+
+    Two chained stateful aggregations in append mode: windows first, then a sliding
+    span over closed windows; state holds open windows and spans only.
+    """
+    windows = flat_stream.withWatermark("event_time", delay).groupBy(F.window("event_time", every).alias("w")).agg(
+        F.sum(F.col("ts_ms") - F.col("source_ts_ms")).alias("lag_ms_sum"), F.count("*").alias("n_events"))
+    breach = (F.col("lag_ms_sum") > threshold_ms * F.col("n_events")).cast("int")
+    spans = windows.select(F.window_time("w").alias("t"), breach.alias("breach")).groupBy(F.window("t", span, every).alias("s")).agg(
+        F.sum("breach").alias("breaches"))
+    return spans.filter(F.col("breaches") == periods).select(F.col("s.start").alias("span_start"), F.col("s.end").alias("span_end"))
+
+
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Drain a streaming DataFrame into Parquet with ``availableNow``."""
     q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

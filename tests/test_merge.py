@@ -1,11 +1,12 @@
 import itertools
+import random
 
 from pyspark.sql import functions as F
 
 from cdc_helpers import SF_SMALL
 from rowtide.operators.envelope import latest_change_per_key, typed_changes
 from rowtide.operators.merge import apply_changes, delete_physical, delete_soft, merge_replace, merge_update, visible
-from rowtide.operators.scd2 import open_versions, scd2_history, scd2_in_order, scd2_merge
+from rowtide.operators.scd2 import empty_points, open_versions, scd2_apply, scd2_history, scd2_merge, versions
 from rowtide.plans.common import USERS, flat_events
 from rowtide.session import scratch_path
 
@@ -92,13 +93,26 @@ def _written(spark, df):
     return path
 
 
-def test_late_older_events_and_nulls_in_scd2(spark):
-    schema = "k int, t string, ts string"
+def test_nulls_in_scd2_merge(spark):
     dim = open_versions(spark.createDataFrame([(1, "gold"), (2, None)], "k int, t string"), F.lit("2024-03-01"))
-    batch = spark.createDataFrame([(1, "bronze", "2024-02-01"), (2, "", "2024-04-01")], schema)
-    eff = F.col("ts").cast("timestamp_ntz")
-    marked = scd2_in_order(dim, batch, ["k"], eff)
-    assert {r.k: r._late for r in marked.collect()} == {1: True, 2: False}
-    out = scd2_merge(dim, marked.filter("not _late"), ["k"], ["t"], eff).collect()
+    batch = spark.createDataFrame([(2, "", "2024-04-01")], "k int, t string, ts string")
+    out = scd2_merge(dim, batch, ["k"], ["t"], F.col("ts").cast("timestamp_ntz")).collect()
     assert {(r.k, r.t, r.is_current) for r in out} == {(1, "gold", True), (2, None, False), (2, "", True)}
-    assert all(r.valid_to is None or r.valid_to > r.valid_from for r in out)
+
+
+def test_history_of_any_cut_and_order_equals_that_of_the_whole_log(spark):
+    rng = random.Random(5)
+    attrs, order = ["event_type", "value"], [F.col(c) for c in ("_ts_ms", "_file_seq", "_pos")]
+    log = typed_changes(flat_events(spark, SF_SMALL), USERS).drop("props")
+    # few users, so that versions are split often; equal values, so that changes repeat them
+    log = log.withColumn("user_id", F.pmod("user_id", F.lit(9))).withColumn("value", F.lit(1).cast("decimal(12,2)")).persist()
+    want = sorted(map(tuple, scd2_history(log, ["user_id"], attrs, order).collect()))
+    for cuts in (2, 4):
+        points = empty_points(log)
+        for part in rng.sample(range(cuts), cuts) + [0]:  # one batch again
+            staged = log.filter(F.pmod(F.xxhash64("_pos"), F.lit(cuts)) == part)
+            points = scd2_apply(points, staged, ["user_id"], attrs, segment_seconds=rng.choice([600, 86400])).checkpoint()
+        assert points.count() == log.count()
+        assert sorted(map(tuple, versions(points, ["user_id"], attrs).collect())) == want
+    log.unpersist()
+    assert any(r[4] is not None for r in want) and len(want) < log.filter("_op <> 'd'").count()

@@ -14,7 +14,7 @@ def test_stream_apply_equals_batch_current_state(spark):
     ev = load(spark, SF_SMALL, "events")
     ev.select(F.to_date("ts").alias("day"), F.to_json(F.struct(event_payload().alias("payload"))).alias("value")) \
         .write.partitionBy("day").text(src)
-    cfg = JobConfig(root=scratch_path(spark, "job"), num_buckets=4)
+    cfg = JobConfig(root=scratch_path(spark, "job"))
     ckpt = scratch_path(spark, "ckpt")
     S.run_to_tables(spark, src, cfg, ckpt, max_files_per_trigger=10).awaitTermination()
     got = sorted(tuple(r) for r in read_current(spark, cfg, "warehouse", USERS).collect())
