@@ -15,6 +15,7 @@ import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.session import ensure_checkpoint_dir
 
@@ -32,6 +33,17 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """At most ``most`` of the written rows, chosen by a hash of ``by``: all if there are no
+    more, else those whose hash lies below the share that gives nine tenths of ``most``. The
+    limit only holds where copies share a hash."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    below = int(2**31 * (0.9 * most / n))
+    return rows.where(F.pmod(F.xxhash64(*by), F.lit(2**31)) < below).limit(most)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small: rows hold whole texts of any length."""
     now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))

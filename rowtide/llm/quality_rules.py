@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.io import bounded_batches, settle
+from rowtide.llm.io import bounded_batches, sampled, settle
 from rowtide.llm.text import SPACES, utf8
 
 #: fixed values of the contract
@@ -194,15 +194,16 @@ def base_failed(prefix: str = "") -> Column:
 
 
 def fit(scored: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> list[list[Condition]]:
-    """Learn from at most ``sample_rows`` labelled rows that pass the base,
-    those with the smallest hashes of their ids. ``scored`` has doc_id and the
+    """Learn from at most ``sample_rows`` labelled rows that pass the base, chosen by
+    a hash below a threshold that follows from their number, so about that many rows and
+    no more reach the driver at any input size. ``scored`` has doc_id and the
     counts; ``labels`` has doc_id and quality (1 good, 0 bad, null unlabelled;
     a doc_id that has both counts as bad)."""
     truth = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = (scored.where(~base_failed()).join(truth, "doc_id").withColumn("deal", F.xxhash64("doc_id"))
-              .orderBy("deal", "doc_id", *COUNTS).limit(sample_rows)
-              .select(*COUNTS, F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad")).toPandas())
-    return learn(sample) if len(sample) else []
+    known = settle(scored.where(~base_failed()).join(truth, "doc_id").select(
+        "doc_id", *COUNTS, F.when(F.col("quality") == 0, 1).otherwise(0).alias("bad")), "quality-known")
+    sample = sampled(known, ["doc_id", *COUNTS], sample_rows).toPandas()
+    return learn(sample.sort_values(["doc_id", *COUNTS])[[*COUNTS, "bad"]].reset_index(drop=True)) if len(sample) else []
 
 
 def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> DataFrame:
