@@ -67,7 +67,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
                 side.write(values.tobytes())
         yield pa.RecordBatch.from_pydict({"shard": [TaskContext.get().partitionId()], "stem": [stem], "n_docs": [len(offsets) - 1], "n_tokens": [int(offsets[-1])]})
 
-    ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    # rows of one doc_id are told apart by a hash, so a hot id is dealt over several files
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").alias("tie")]
+    docs = docs.select("doc_id", "text", order[1])
+    ranged = docs.repartitionByRange(order[0], "tie").sortWithinPartitions(order[0], "tie").select("doc_id", "text")
     listing = settle(ranged.mapInArrow(write_range, "shard long, stem string, n_docs long, n_tokens long"), "token-listing")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return listing.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
