@@ -46,6 +46,11 @@ def url_key(url: str | None) -> str:
     return f"{key}){parts.path or '/'}" + (f"?{parts.query}" if parts.query else "")
 
 
+#: pages carry no capture time; the header is mandatory
+CAPTURED = "1970-01-01T00:00:00Z"
+LOOKUPS_A_TASK = 4_096
+
+
 def _record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
     """One WARC 1.1 record as a gzip member; a revisit has no payload, but
     keeps the headers of the response, with the payload's length."""
@@ -55,6 +60,7 @@ def _record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Date: {CAPTURED}",
         f"WARC-Target-URI: {' '.join((url or '').split())}",
         f"WARC-Payload-Digest: sha256:{digest}",
         "Content-Type: application/http; msgtype=response",
@@ -270,7 +276,9 @@ def fetch(wanted: DataFrame, shards: DataFrame) -> DataFrame:
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string"
     order = [F.col("url_key"), F.col("page_id").asc_nulls_first()]
-    return wanted.select("url_key", "page_id").distinct().repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(look_up, schema)
+    distinct = settle(wanted.select("url_key", "page_id").distinct(), "wanted")
+    tasks = max(1, -(-distinct.count() // LOOKUPS_A_TASK))  # by rows: few bytes are much work here
+    return distinct.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInPandas(look_up, schema)
 
 
 def with_url_key(pages: DataFrame) -> DataFrame:
