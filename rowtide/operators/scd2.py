@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.keys import change_hash, change_hash_strict
 from rowtide.functions.time import ms_to_ntz
-from rowtide.operators.sequence import group_columns, segmented_last_seen, segmented_shift, with_segment
+from rowtide.operators.sequence import SEG, group_columns, segmented_last_seen, segmented_next_seen, segmented_shift, with_segment
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current")
 ORDER = ("_ts_ms", "_file_seq", "_pos")
@@ -129,19 +129,19 @@ def scd2_delete(dim: DataFrame, deletes: DataFrame, keys: Sequence[str], effecti
     return dim.filter(~F.col("is_current")).unionByName(closed)
 
 
-def _with_intervals(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order: Sequence[Column],
-                    ts_ms: str, op: str, strict: bool, segment_seconds: int) -> tuple[DataFrame, DataFrame]:
-    """(changes that open or close a version, with ``_next_t``, the time of the next such
-    one; the others). Both neighbour lookups run per (key, time segment)."""
+def _marked(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order: Sequence[Column],
+            ts_ms: str, op: str, strict: bool, segment_seconds: int, clustered: bool = False) -> tuple[DataFrame, list[str]]:
+    """Changes with ``_keep``: whether one opens or closes a version. The neighbour lookup runs
+    per (key, time segment); ``clustered`` changes have their segment and lie by it already."""
     ordn = [f"_ord{i}" for i in range(len(order))]
     marked = changes.select("*", F.col(ts_ms).alias("_t"), F.col(op).alias("_o"),
                             *[o.alias(n) for o, n in zip(order, ordn)], _hash(tracked, strict).alias("_h"))
-    marked = segmented_shift(with_segment(marked, ordn[0], segment_seconds), keys, ordn, ["_o", "_h"], "prev", "_prev")
+    marked = marked if clustered else with_segment(marked, ordn[0], segment_seconds)
+    marked = segmented_shift(marked, keys, ordn, ["_o", "_h"], "prev", "_prev", clustered=clustered)
     is_del = F.col("_o") == "d"
     prev_open = F.col("_prev_o").isNotNull() & (F.col("_prev_o") != "d")
     keep = (is_del & prev_open) | (~is_del & (~prev_open | ~F.col("_h").eqNullSafe(F.col("_prev_h"))))
-    kept = segmented_shift(marked.filter(keep), keys, ordn, ["_t"], "next", "_next", clustered=True)
-    return kept, marked.filter(~F.coalesce(keep, F.lit(False)))
+    return marked.withColumn("_keep", F.coalesce(keep, F.lit(False))), ordn
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str],
@@ -160,7 +160,8 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     used = list(dict.fromkeys([*keys, *tracked, ts_ms, op]))
     named = [o.alias(f"_in{i}") for i, o in enumerate(order)]
     order = [F.col(f"_in{i}") for i in range(len(order))]
-    kept, _ = _with_intervals(changes.select(*used, *named), keys, tracked, order, ts_ms, op, strict, segment_seconds)
+    marked, ordn = _marked(changes.select(*used, *named), keys, tracked, order, ts_ms, op, strict, segment_seconds)
+    kept = segmented_shift(marked.filter("_keep").drop("_keep"), keys, ordn, ["_t"], "next", "_next", clustered=True)
     return kept.filter(F.col("_o") != "d").select(
         *keys, *tracked,
         ms_to_ntz("_t").alias("valid_from"),
@@ -199,16 +200,19 @@ def scd2_apply(points: DataFrame, staged: DataFrame, keys: Sequence[str], attrs:
         rest = points.join(touched, keys, "left_anti")
         old = old.join(touched, keys, "left_semi")
     both = old.withColumn("_age", F.lit(0)).unionByName(staged.select(*[c for c in points.columns if c not in interval]).withColumn("_age", F.lit(1)))
-    others = [c for c in points.columns if c not in same and c not in interval]
-    once = both.groupBy(*same).agg(F.min_by(F.struct(*others), "_age").alias("_others")).select(*same, *[F.col(f"_others.{c}").alias(c) for c in others])
+    others = [c for c in points.columns if c not in same and c not in interval] or ["_age"]
+    # one shuffle, on (key, segment), serves both the removal of repeated changes and the intervals
+    both, group = group_columns(with_segment(both, ORDER[0], segment_seconds), keys)
+    group = [*group, SEG]
+    once = both.repartition(*group).groupBy(*group, *same).agg(F.min_by(F.struct(*others), "_age").alias("_others")) \
+        .select(*group, *same, *[F.col(f"_others.{c}").alias(c) for c in others])
     tie = change_hash_strict(["_op", *attrs])
-    kept, repeats = _with_intervals(once, keys, attrs, [*[F.col(c) for c in ORDER], tie], "_ts_ms", "_op", True, segment_seconds)
-    opens = F.col("_o") != "d"
-    laid = kept.withColumns({"valid_from": F.when(opens, ms_to_ntz("_t")), "valid_to": F.when(opens, ms_to_ntz("_next_t")),
-                             "is_current": F.when(opens, F.col("_next_t").isNull())})
-    none = F.lit(None)
-    repeats = repeats.withColumns({c: none.cast(points.schema[c].dataType) for c in interval})
-    out = laid.select(*points.columns).unionByName(repeats.select(*points.columns))
+    marked, ordn = _marked(once, keys, attrs, [*[F.col(c) for c in ORDER], tie], "_ts_ms", "_op", True, segment_seconds, clustered=True)
+    marked = marked.withColumn("_edge_t", F.when(F.col("_keep"), F.struct("_t")))
+    laid = segmented_next_seen(marked, keys, ordn, "_edge_t", "_next")
+    opens = F.col("_keep") & (F.col("_o") != "d")
+    out = laid.withColumns({"valid_from": F.when(opens, ms_to_ntz("_t")), "valid_to": F.when(opens, ms_to_ntz("_next._t")),
+                            "is_current": F.when(opens, F.col("_next").isNull())}).select(*points.columns)
     return out if everything else out.unionByName(rest)
 
 

@@ -164,3 +164,20 @@ def segmented_last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     carry = summary.select(*keys, SEG, F.last(F.col("_b")[value], ignorenulls=True).over(ws).alias("_carry"))
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.select(*[c for c in df.columns], F.coalesce(F.col("_in"), F.col("_carry")).alias(out))
+
+
+def segmented_next_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """``out`` = first non-NULL ``value`` behind each row, per key.
+
+    ``df`` has its segment and lies by it (an earlier call's output). The window runs
+    down the order, so that its frame grows row by row instead of being read anew for each.
+    """
+    df, keys = group_columns(df, keys)
+    w = Window.partitionBy(*keys, SEG).orderBy(*[F.col(c).desc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    inner = df.withColumn("_in", F.last(F.col(value), ignorenulls=True).over(w))
+    row = F.struct(*[F.col(c) for c in df.columns])  # whole row: see segmented_shift
+    summary = df.groupBy(*keys, SEG).agg(F.min_by(row, F.when(F.col(value).isNotNull(), _order(order))).alias("_b"))
+    ws = Window.partitionBy(*keys).orderBy(F.col(SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SEG, F.last(F.col("_b")[value], ignorenulls=True).over(ws).alias("_carry"))
+    joined = inner.join(carry, [*keys, SEG], "left")
+    return joined.select(*df.columns, F.coalesce(F.col("_in"), F.col("_carry")).alias(out))

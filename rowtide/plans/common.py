@@ -28,8 +28,8 @@ def staged(batch: DataFrame) -> DataFrame:
     """K1 as a job does it: materialize a batch once before merging it.
 
     A reliable checkpoint under the session's ``spark.checkpoint.dir``
-    (shared storage on a cluster); the broadcast size check and the merge
-    then read it instead of deriving the batch twice.
+    (shared storage on a cluster); the merge then reads it instead of
+    deriving the batch once for each side that uses it.
     """
     return batch.checkpoint(eager=True)
 
