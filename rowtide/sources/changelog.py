@@ -72,3 +72,8 @@ def parse_change_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
             F.col("_raw").alias("raw"),
         )
     )
+
+
+def read_change_events(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:
+    """Permissive typed scan of envelopes; keeps the raw line and its file."""
+    return parse_change_lines(split_glued(read_change_lines(spark, path, recursive)))
