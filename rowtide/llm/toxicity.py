@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.io import bounded_batches, settle
+from rowtide.llm.io import bounded_batches, sampled, settle
 
 _WORD = re.compile(r"\w+")
 SHORTEST, LONGEST = 3, 8
@@ -130,7 +130,7 @@ class Scorer:
 def _labelled(docs: DataFrame, labels: DataFrame, held_out, rows: int) -> DataFrame:
     """The labelled rows to learn from: ``rows`` at most, by the hash of their id."""
     truth = labels.where("doc_id is not null and toxic is not null").where(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = truth.withColumn("deal", F.xxhash64("doc_id")).orderBy("deal", "doc_id").limit(rows)
+    chosen = sampled(settle(truth, "toxic-labels"), ["doc_id"], rows).withColumn("deal", F.xxhash64("doc_id"))
     once = docs.select("doc_id", "text").where("doc_id is not null")
     return once.join(F.broadcast(chosen), "doc_id")  # bounded by ``rows``
 
