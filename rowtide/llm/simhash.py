@@ -157,6 +157,10 @@ def _mask(places: list[int]) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+#: fingerprints that a task searches, groups being whole
+GROUP_ROWS = 32_768
+
+
 def links(fps: DataFrame, radius: int, most: int = 4096) -> DataFrame:
     """Distinct fingerprints (column ``fp``) to links (a, b) whose components
     are those of all pairs within the radius.
@@ -188,7 +192,9 @@ def links(fps: DataFrame, radius: int, most: int = 4096) -> DataFrame:
         stuck = [k for k, (rest, _, _) in enumerate(step) if len(rest) < 4 * (radius + 1)]
         large = settle(dealt.where(~F.col("via").isin(stuck)).groupBy("grp").count().where(F.col("count") > (most if depth < deepest else 2**62)).select("grp"), "simhash-large")
         small = dealt.join(large, "grp", "left_anti").select("grp", "fp")
-        here = small.repartition("grp").mapInPandas(lambda it: _group_links(it, radius), "a long, b long")
+        # by rows: few bytes are much work here
+        tasks = max(1, -(-dealt.count() // GROUP_ROWS))
+        here = small.repartition(tasks, "grp").mapInPandas(lambda it: _group_links(it, radius), "a long, b long")
         found = here if found is None else found.union(here)
         if not large.take(1):
             break
