@@ -156,21 +156,25 @@ def _occurrences(scanned: DataFrame, least_chars: int, least_digits: int) -> Dat
         F.explode(F.filter(patterns, lambda p: p.isNotNull())).alias("pattern"))
 
 
-def confident_patterns(seen: DataFrame, rounds: int = 3, least: float = 0.8, support: int = 4) -> DataFrame:
+def confident_patterns(seen: DataFrame, rounds: int = 3, least: float = 0.8, least_shaped: float = 0.4, support: int = 4) -> DataFrame:
     """(pattern, kind, confidence) from occurrences (instance, kind, pattern).
 
     Each round scores the patterns by their instances, keeps those with
-    confidence ``least`` from at least ``support`` believed instances, and
-    scores the instances by the kept patterns; seeds stay certain.
+    confidence ``least`` from at least ``support`` believed instances (a score of 0.8), and
+    scores the instances by the kept patterns; seeds stay certain. A kind that a
+    fixed pattern describes in full is seen wherever it stands, so an instance
+    that is not of it speaks against a pattern. A shape only describes a part of its kind:
+    ``least_shaped`` is enough there, and the rounds raise what such patterns agree on.
     """
     edges = settle(seen.select("pattern", "instance").distinct(), "pii-edges")
     totals = settle(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support), "pii-totals")
     seeds = settle(seen.where("kind is not null").groupBy("instance").agg(F.min("kind").alias("kind")).withColumn("score", F.lit(1.0)), "pii-seeds")
     belief, kept = seeds, None
     for _ in range(rounds):
-        good = edges.join(belief, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("good"), F.count("*").alias("m"))
+        good = edges.join(belief, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("good"), F.count(F.when(F.col("score") >= 0.8, 1)).alias("m"))
+        enough = F.when(F.col("kind").isin(*[k for k, _ in SEEDS]), least_shaped).otherwise(least)
         kept = settle(good.where(F.col("m") >= support).join(totals, "pattern").withColumn("confidence", F.col("good") / F.col("n"))
-                      .where(F.col("confidence") >= least).groupBy("pattern")
+                      .where(F.col("confidence") >= enough).groupBy("pattern")
                       .agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"), F.max("confidence").alias("confidence")), "pii-patterns")
         doubt = F.sum(F.log(F.lit(1.0) - F.least("confidence", F.lit(0.99))))
         told = edges.join(kept, "pattern").groupBy("instance", "kind").agg((F.lit(1.0) - F.exp(doubt)).alias("score"))
@@ -185,6 +189,7 @@ def extract(docs: DataFrame, least_chars: int = 8, least_digits: int = 4, **limi
 
     ``least_chars`` and ``least_digits`` are what an instance has at least.
     A word that a base span touches is not added, unless it has a seed's shape.
+    A seed in no confident pattern adds nothing: the shape alone is no proof.
     """
     scanned = scan(docs.select("doc_id", "text"))
     seen = settle(_occurrences(scanned, least_chars, least_digits), "pii-occurrences")

@@ -92,6 +92,32 @@ def test_words_with_digits_are_context(spark, documents):
         assert [(s.kind, rows[r.doc_id][1][s.start:s.end]) for s in r.found if s.kind == "secret"] == [("secret", (seeds + unseen)[r.doc_id])]
 
 
+def test_hidden_half_of_the_seeds_is_found_on_the_given_table(spark, monkeypatch):
+    """Seeds begin with 0 to 7 only; secrets that begin otherwise must be found by their patterns."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    whole = docs.where("text rlike '(?<![0-9a-f])[0-9a-f]{32,}(?![0-9a-f])'")
+    hidden = {(r.doc_id, m.start(), m.end()) for r in whole.collect() for m in re.finditer(r"(?<![0-9A-Za-z])[89a-f][0-9a-f]{31,}(?![0-9A-Za-z])", r.text)}
+    monkeypatch.setattr(pii, "SEEDS", (("secret", "^[0-7][0-9a-f]{31,}$"),))
+    got = {(r.doc_id, s.start, s.end) for r in pii.spans(docs).select("doc_id", "found").collect() for s in r.found if s.kind == "secret"}
+    assert len(hidden) >= 10 and len(hidden & got) >= 0.9 * len(hidden)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    told = [texts[i][a:b] for i, a, b in got]
+    assert all(re.fullmatch("[0-9A-Fa-f]{32,}", x) for x in told)  # and nothing else
+    assert any(x != x.lower() for x in told)  # some of a shape that no seed has
+
+
+def test_seeds_of_one_shape_find_identifiers_of_another(spark, documents):
+    rng = random.Random(8)
+    seeds, other = secrets(rng, 10, "0123456789abcdef"), secrets(rng, 10, "0123456789GHJKLM")
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(5))
+    rows = [(i, f'{word()} api key: {s} {word()}') for i, s in enumerate(seeds + other)]
+    rows += [(100 + i, f"{word()} parcel no: {10**9 + rng.randrange(10**8)} {word()}") for i in range(30)]
+    rows += [(200 + i, f"{word()} {word()} see: {s} {word()}") for i, s in enumerate(secrets(rng, 3, "0123456789abcdef"))]  # seeds without a pattern
+    found = {r.doc_id: [dict(rows)[r.doc_id][s.start:s.end] for s in r.found] for r in pii.spans(documents(rows)).collect()}
+    caught = sum(found[i] == [(seeds + other)[i]] for i in range(20))
+    assert caught == 20 and not any(found[i] for i in found if i >= 100)
+
+
 def test_overlapping_spans_are_redacted_together(spark, documents):
     got = pii.redact(documents([(1, "x +4111 1111 1111 1111 y"), (2, "a@b.co1.2.3.4")])).orderBy("doc_id").collect()
     assert got[0].text == "x <CARD> y" or got[0].text == "x <PHONE> y" or got[0].text == "x +<CARD> y"
