@@ -13,9 +13,10 @@ caller replays it. The ledger rows are written last, so a crash re-applies the b
 and the ordered merges, the event keys and the per-batch quarantine folder make
 that a no-op.
 
-Scale: the classified batch is persisted once; per table the typed
-changes are persisted once. Driver-side loops run over
-tables and sinks (a handful), never over rows.
+Scale: lines are parsed once and staged by table in the shared folder, so a table reads
+its own lines only; its checked changes and the latest ones per key are staged likewise.
+The counts are observed by these writes, no job runs for them, and a lost executor costs
+its running tasks. Driver-side loops run over tables and sinks (a handful), never over rows.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.contracts import REGISTRY, SINKS, TableContract, contract_table
@@ -40,7 +40,7 @@ from rowtide.schemas import LEDGER, WRITE_RESULT
 from rowtide.sinks import fs
 from rowtide.sinks.claims import claim
 from rowtide.sinks.ledger_store import append_marks, read_ledger
-from rowtide.sinks.log import append_silver
+from rowtide.sinks.log import append_silver, stage_counted
 from rowtide.sinks.search import document_version, index_name, search_actions, write_bulk
 from rowtide.sinks.versioned import VersionedTable
 from rowtide.sources.changelog import parse_change_lines, split_glued
@@ -80,6 +80,9 @@ class JobConfig:
     def claim_folder(self, batch_id: str) -> str:
         return f"{self.root.rstrip('/')}/_claims/{self.batch_folder(batch_id)}"
 
+    def stage_folder(self, batch_id: str) -> str:
+        return f"{self.root.rstrip('/')}/_stage/{self.batch_folder(batch_id)}"
+
     def batch_folder(self, batch_id: str) -> str:
         """What a batch writes of its own is keyed as the ledger is: by job and batch."""
         return f"job_name={quote(self.job_name, safe='')}/batch_id={quote(batch_id, safe='')}"
@@ -109,17 +112,19 @@ def _apply_history(spark, cfg: JobConfig, sink: str, c: TableContract, changes:
     t = stored_table(spark, cfg, sink, c)
     if t.version() is None:
         t.create(empty_points(staged).schema)
+    new = Observation()
 
     def fn(points, staged):
         grown = any(a not in points.columns for a in attrs)
         points = extend_columns(promote(points, c), staged)
         lost = [f for f in points.schema.fields if f.name not in staged.columns and f.name not in SCD2_COLUMNS]
         staged = staged.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in lost])
-        return scd2_apply(points, staged, keys, attrs, everything=grown)
+        own, gone = F.col("_batch") == mark, F.col("_op") == "d"
+        return scd2_apply(points, staged, keys, attrs, everything=grown).observe(
+            new, F.count(F.when(own & ~gone, 1)).alias("up"), F.count(F.when(own & gone, 1)).alias("down"))
 
     t.merge(staged, fn)
-    gone = F.col("_op") == "d"
-    return tuple(t.read().filter(F.col("_batch") == mark).agg(F.count(F.when(~gone, 1)), F.count(F.when(gone, 1))).first())
+    return new.get.get("up", 0), new.get.get("down", 0)
 
 
 def _apply_sink(spark, cfg: JobConfig, sink: str, c: TableContract, typed: DataFrame, batch_id: str, newest_ms: int | None) -> None:
@@ -211,7 +216,7 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
         append_marks(started.unionByName(done), cfg.ledger_root)
 
     try:
-        results = _apply_batch(spark, lines, batch_id, cfg)
+        results = _apply_batch(spark, lines, batch_id, cfg, mark["attempt"])
     except Exception as e:
         finish(None, f"{type(e).__name__}: {e}")
         raise
@@ -222,16 +227,29 @@ def process_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: Job
     return spark.createDataFrame(results, WRITE_RESULT)
 
 
-def _apply_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig) -> list[tuple]:
+BAD_LINES = "-"  # fixed value: the staged part of lines that no table takes; tables are named db.table
+
+
+def _apply_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobConfig, attempt: int) -> list[tuple]:
     contracts = contract_table(spark, cfg.registry.values())
-    classified = classify(parse_change_lines(split_glued(lines)), contracts).persist(StorageLevel.MEMORY_AND_DISK)
-    results, persisted = [], [classified]
+    for name in fs.list_names(spark, cfg.stage_folder(batch_id)):  # left by attempts that were overtaken
+        if int(name) < attempt:
+            fs.delete(spark, f"{cfg.stage_folder(batch_id)}/{name}")
+    stage = f"{cfg.stage_folder(batch_id)}/{attempt}"
     try:
         ok, source = F.col("reason").isNull(), F.col("payload.source")
-        counted = classified.groupBy(F.when(ok, source["db"]).alias("db"), F.when(ok, source["table"]).alias("table")).count().collect()  # tables + 1
-        n_bad = sum(r["count"] for r in counted if r.db is None)
-        _write_quarantine(classified.filter(~ok).withColumn("detail", F.lit(None).cast("string")), n_bad, cfg, batch_id, "lines")
-        present = _parents_first([cfg.registry[f"{r.db}.{r.table}"] for r in counted if r.db is not None])
+        classified = classify(parse_change_lines(split_glued(lines)), contracts).select("payload", "raw", "reason")
+        part = F.when(ok, F.concat(source["db"], F.lit("."), source["table"])).otherwise(BAD_LINES)
+        n_bad = stage_counted(classified.withColumn("part", part), f"{stage}/lines", {"bad": F.count("reason")}, "part")["bad"]
+        parts = {unquote(n.removeprefix("part=")): n for n in fs.list_names(spark, f"{stage}/lines") if n.startswith("part=")}
+
+        def staged_lines(part: str) -> DataFrame:
+            if part not in parts:
+                return spark.createDataFrame([], classified.schema)
+            return spark.read.schema(classified.schema).parquet(f"{stage}/lines/{parts[part]}")
+
+        _write_quarantine(staged_lines(BAD_LINES).withColumn("detail", F.lit(None).cast("string")), n_bad or 0, cfg, batch_id, "lines")
+        present = _parents_first([cfg.registry[name] for name in parts if name != BAD_LINES])
 
         def stored(fqn: str) -> DataFrame | None:
             parent = cfg.registry.get(fqn)
@@ -240,40 +258,42 @@ def _apply_batch(spark: SparkSession, lines: DataFrame, batch_id: str, cfg: JobC
                     return read_current(spark, cfg, sink, parent)
             return None
 
+        results = []
         # the silver append and the sinks of a table are independent jobs: they run concurrently
         # (one driver thread each) so small jobs share the executors
         with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_jobs)) as pool:
             for c in present:
-                rows = classified.filter(ok & (source["db"] == c.db_name) & (source["table"] == c.table_name))
-                flat = flatten_envelope(rows, c.primary_keys, keep=["raw"])
+                flat = flatten_envelope(staged_lines(c.fqn), c.primary_keys, keep=["raw"])
+                silver = pool.submit(append_silver, flat.drop("raw"), cfg.silver_root)
                 cast = typed_changes(split_key_changes(flat, c), c, cfg.renames.get(c.fqn), with_conflicts=True, keep=["raw"], with_extra=cfg.keep_unknown)
                 cast = with_contract_rules(cast, c, stored).withColumn("reason", _reason(c)) \
-                    .withColumn("detail", F.nullif(F.array_join(F.concat("_schema_conflict", VIOLATIONS), ","), F.lit(""))).persist(StorageLevel.MEMORY_AND_DISK)
-                persisted.append(cast)
+                    .withColumn("detail", F.nullif(F.array_join(F.concat("_schema_conflict", VIOLATIONS), ","), F.lit(""))) \
+                    .drop("_schema_conflict", VIOLATIONS)
                 extra = F.col(EXTRA).isNotNull() if cfg.keep_unknown else F.lit(False)
-                n_bad, n_extra = cast.agg(F.count("reason"), F.count(F.when(extra, 1))).first()
-                _write_quarantine(cast.filter(F.col("reason").isNotNull()), n_bad, cfg, batch_id, c.fqn)
-                if n_extra:
-                    _report_drift(cast, cfg, batch_id, c)
-                silver = pool.submit(append_silver, flat.drop("raw"), cfg.silver_root)
-                changes = cast.filter(ok).drop("reason", "detail", "raw", "_schema_conflict", VIOLATIONS)
-                typed = latest_typed_per_key(changes, c).persist(StorageLevel.MEMORY_AND_DISK)
-                persisted.append(typed)
+                checked = f"{stage}/checked/{quote(c.fqn, safe='')}"
+                n = stage_counted(cast, checked, {"bad": F.count("reason"), "extra": F.count(F.when(extra, 1))})
+                cast = spark.read.schema(cast.schema).parquet(checked)
+                _write_quarantine(cast.filter(~ok), n["bad"] or 0, cfg, batch_id, c.fqn)
+                drift = pool.submit(_report_drift, cast, cfg, batch_id, c) if n["extra"] else None
+                changes = cast.filter(ok).drop("reason", "detail", "raw")
+                typed, latest = latest_typed_per_key(changes, c), f"{stage}/latest/{quote(c.fqn, safe='')}"
                 gone = F.col("_op") == "d"
-                up, down, newest = typed.agg(F.count(F.when(~gone, 1)), F.count(F.when(gone, 1)), F.max("_ts_ms")).first()
+                n = stage_counted(typed, latest, {"up": F.count(F.when(~gone, 1)), "down": F.count(F.when(gone, 1)), "newest": F.max("_ts_ms")})
+                typed = spark.read.schema(typed.schema).parquet(latest)
                 jobs = [(sink, pool.submit(_apply_history, spark, cfg, sink, c, changes, batch_id) if _keeps_history(cfg, sink, c)
-                         else pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id, newest))
+                         else pool.submit(_apply_sink, spark, cfg, sink, c, typed, batch_id, n["newest"]))
                         for sink in c.sinks if sink in cfg.enabled_sinks or sink in cfg.extra_sinks]
                 for sink, job in jobs:
                     try:
-                        results.append((sink, c.fqn, *(job.result() or (up, down)), []))
+                        results.append((sink, c.fqn, *(job.result() or (n["up"] or 0, n["down"] or 0)), []))
                     except Exception as e:  # noqa: BLE001 - sinks fail independently
                         results.append((sink, c.fqn, 0, 0, [f"{type(e).__name__}: {e}"]))
-                silver.result()  # a failed silver append fails the batch
+                for job in (silver, drift):  # one that failed fails the batch
+                    if job is not None:
+                        job.result()
+        return results
     finally:
-        for p in persisted:
-            p.unpersist()
-    return results
+        fs.delete(spark, stage)
 
 
 def read_current(spark: SparkSession, cfg: JobConfig, sink: str, c: TableContract) -> DataFrame:

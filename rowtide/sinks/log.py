@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowtide.functions.time import ms_to_ntz
@@ -19,6 +21,17 @@ def stage_batch(df: DataFrame, root: str, batch_id: str) -> str:
     return path
 
 
+def stage_counted(df: DataFrame, path: str, counts: Mapping[str, Column], *partition_by: str) -> dict:
+    """K1, A1: write rows that several readers need, once, and count on the way.
+
+    The aggregates are observed by the write's own tasks, each output partition
+    once however often its task ran, so no job runs for them.
+    """
+    seen = Observation()
+    df.observe(seen, *[c.alias(n) for n, c in counts.items()]).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return {n: seen.get.get(n) for n in counts}
+
+
 def with_log_columns(flat: DataFrame) -> DataFrame:
     """Flat changes + ``dt`` partition + ``event_key`` (unambiguous, NULL-safe)."""
     key = F.sha2(F.to_json(F.array(*[F.col(c).cast("string") for c in EVENT_KEY_COLUMNS])), 256)
@@ -43,7 +56,7 @@ def new_events(flat: DataFrame, root: str) -> DataFrame:
     spark = flat.sparkSession
     if not fs.exists(spark, root):
         return batch
-    touched = F.broadcast(batch.select(*LOG_PARTITIONS).distinct())
+    touched = F.broadcast(with_log_columns(flat).select(*LOG_PARTITIONS).distinct())  # without the batch's shuffle
     existing = spark.read.parquet(root).join(touched, list(LOG_PARTITIONS), "left_semi").select("dt", "event_key")
     return batch.join(existing, ["dt", "event_key"], "left_anti")
 

@@ -330,3 +330,19 @@ def test_run_totals_keep_the_first_three_errors(spark):
     assert r.first_errors == ["r1", "r2", "s1"]
     clean = run_totals(res.filter("size(errors) = 0")).first()
     assert clean.any_error is False and clean.first_errors == []
+
+
+def test_the_stage_counts_what_it_writes_and_leaves_nothing(spark):
+    cfg = JobConfig(root=scratch_path(spark, "stage"))
+    left = f"{cfg.stage_folder('b1')}/0"  # of an attempt that crashed
+    fs.create_text(spark, f"{left}/lines/part-0", "x")
+    lines = lambda *text: spark.createDataFrame([(x,) for x in text], "value string")
+    good, bad = [_change("c", k, 1000 + k, k, "gold", city="X") for k in range(5)], ["not json", '{"heartbeat": 1}']
+    gone = [_change("d", 1, 5000, 9, "gold", city="X")]
+    res = process_batch(spark, lines(*good, *bad, *gone), "b1", cfg, raise_on_error=True).collect()
+    # the history counts each change, the other sinks the latest one of each key
+    assert {(r.upserted, r.deleted) for r in res} <= {(5, 1), (4, 1)} and len(res) == len(REGISTRY[res[0].table_name].sinks)
+    assert spark.read.parquet(cfg.quarantine_root).count() == 2
+    assert fs.list_names(spark, cfg.stage_folder("b1")) == []
+    nothing = process_batch(spark, lines(*bad).where("false"), "b2", cfg, raise_on_error=True)
+    assert nothing.count() == 0 and fs.list_names(spark, cfg.stage_folder("b2")) == []
