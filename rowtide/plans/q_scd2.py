@@ -18,6 +18,8 @@ from rowtide.operators.scd2 import (
 )
 from rowtide.plans.common import CUSTOMER, HISTORY_START, TIER_FIRST, TIER_SECOND, USERS, flat_events, with_flat
 from rowtide.plans.registry import query
+from rowtide.session import scratch_path
+from rowtide.sinks.log import stage_batch
 from rowtide.sources.fixtures import load
 
 # Customer tier thresholds on cumulative order value.
@@ -158,4 +160,6 @@ def q_scd2_history(spark, sf_dir):
     ch = typed_changes(flat_events(spark, sf_dir), USERS)
     ch = ch.withColumn("event_type", F.when(F.col("_op") != "d", F.col("event_type")))
     order = [F.col("_ts_ms"), F.col("_file_seq"), F.col("_pos")]
+    ch = ch.select("user_id", "event_type", "_op", "_ts_ms", "_file_seq", "_pos")
+    ch = spark.read.parquet(stage_batch(ch, scratch_path(spark, "changes"), "b1"))  # to count, then to build
     return scd2_history(ch, USERS.primary_keys, ["event_type"], order)
