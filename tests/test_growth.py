@@ -1,16 +1,20 @@
 """What a task holds or a query derives again must not grow faster than its input."""
 
 import datetime as dt
+import glob
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators.scd2 import empty_points, scd2_apply, scd2_history, versions
 from rowtide.operators.sequence import group_columns, hot_groups
-from rowtide.plans import q_io
+from rowtide.operators.envelope import latest_typed_per_key
+from rowtide.plans import batch_job, q_io
 from rowtide.session import scratch_path
-from rowtide.sinks.log import append_silver, new_events
+from rowtide.sinks.log import append_silver, new_events, stage_counted
+from rowtide.sources.changelog import split_glued
 from rowtide.sources.fixtures import spread
 
 ORDER = ("_ts_ms", "_file_seq", "_pos")
@@ -135,3 +139,71 @@ def test_append_log_parses_the_lines_once(spark, monkeypatch):
     out = q_io.q_append_log(spark, "/root/testdata/sf0.001")
     assert len(plans) == 4 and not any("from_json" in p or "JsonToStructs" in p for p in plans)
     assert {(r.log, r.n_copies) for r in out.select("log", "n_copies").distinct().collect()} == {("log", 2), ("silver", 1)}
+
+
+def test_replayed_silver_batch_is_not_deduplicated_before_the_lookup(spark):
+    root = scratch_path(spark, "silver-replay")
+    append_silver(_flat(spark, 50), root)
+    plan = new_events(_flat(spark, 50), root)._jdf.queryExecution().optimizedPlan()
+    assert "Aggregate" in str(plan.nodeName())  # what the look-up leaves, not what goes into it
+    assert new_events(_flat(spark, 50).unionByName(_flat(spark, 50)), root).count() == 0
+
+
+def _dictionaries(path):
+    found = {}
+    for f in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            for c in range(meta.num_columns):
+                col = meta.row_group(g).column(c)
+                found[col.path_in_schema] = found.get(col.path_in_schema, False) or col.has_dictionary_page
+    return found
+
+
+def test_staged_rows_and_digests_are_written_without_dictionaries(spark):
+    path = scratch_path(spark, "staged")
+    assert stage_counted(_flat(spark, 50), path, {"n": F.count("*")}) == {"n": 50}
+    assert spark.read.parquet(path).count() == 50 and not any(_dictionaries(path).values())
+    append_silver(_flat(spark, 50), path + "-silver")
+    found = _dictionaries(path + "-silver")
+    assert not found["event_key"] and not found["pk_hash"] and found["op"]
+
+
+def test_two_jobs_read_the_lines_from_disk(spark, monkeypatch):
+    """Three attempts at one batch: its lines are encoded once, not by each of them."""
+    seen = []
+    monkeypatch.setattr(q_io, "process_batch", lambda spark, lines, *a, **k: seen.append(lines))
+    q_io.q_ledger_two_jobs(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 4
+    assert not any("StructsToJson" in p or "to_json" in p for p in (d._jdf.queryExecution().optimizedPlan().toString() for d in seen))
+    want = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert seen[0].count() == want
+
+
+@pytest.mark.parametrize("gap", ["", " ", "\t", "\n", "\x0b", "\f", "\r", " \r\n "])
+def test_glued_lines_are_split_at_any_white_space(spark, gap):
+    one, two, not_glued = '{"a":{"b":1}}', '{"op":"u","x":"} {"}', '{"a":"}"} x'
+    rows = spark.createDataFrame([(one + gap + two,), (one,), (not_glued,), (" ",), (None,)], "value string")
+    assert sorted(r.value for r in split_glued(rows).collect()) == sorted([one, two, one, not_glued])
+
+
+def test_lines_without_a_boundary_skip_the_expression(spark):
+    plan = split_glued(spark.createDataFrame([("x",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan or "contains(" in plan.lower()
+
+
+def test_good_rows_stage_no_line(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(batch_job, "_write_quarantine", lambda bad, n, cfg, batch, part: kept.append((part, n, [r.raw for r in bad.collect()])))
+    monkeypatch.setattr(batch_job, "latest_typed_per_key", lambda changes, c: (rows.extend(spark.read.parquet(*paths()).collect()), real(changes, c))[1])
+    rows, real = [], latest_typed_per_key
+    cfg = batch_job.JobConfig(root=scratch_path(spark, "no-line"), enabled_sinks=())
+
+    def paths():
+        return glob.glob(f"{cfg.root}/_stage/*/*/*/checked/*")
+
+    image = '{"payload":{"op":"c","ts_ms":1,"source":{"db":"app","table":"users","pos":1},"after":{"user_id":"%s","value":"%s"}}}'
+    lines = spark.createDataFrame([(image % ("1", "2.5"),), (image % ("2", "9x"),)], "value string")
+    batch_job.process_batch(spark, lines, "b", cfg, raise_on_error=True)
+    assert kept[-1] == ("app.users", 1, [image % ("2", "9x")])
+    assert {(r.user_id, r.raw) for r in rows} == {(1, None), (2, image % ("2", "9x"))}
