@@ -115,7 +115,7 @@ def _instances(text: Column) -> Column:
 
     def step(acc: Column, s: Column) -> Column:
         at = acc.at + F.length(s.gap)
-        open_ = F.length(F.regexp_substr(s.match, F.lit(_OPENING)))
+        open_ = F.length(F.regexp_extract(s.match, _OPENING, 0))  # none is length 0; regexp_substr makes it null
         core = F.regexp_replace(F.regexp_replace(s.match, _OPENING, ""), _CLOSING, "")
         one = F.struct((at + open_).alias("start"), (at + open_ + F.length(core)).alias("end"), core.alias("core"),
                        F.substring(s.before, -_CONTEXT, _CONTEXT).alias("before"), F.substring(s.after, 1, _CONTEXT).alias("after"))
